@@ -6,8 +6,10 @@ that stay distributed:
 
 1. range-partition on the order columns and sort inside each partition;
    tag rows with their partition id and in-partition position
-   (``monotonically_increasing_id`` packs both), then checkpoint so both
-   passes see the same partition layout even if a task is recomputed;
+   (``monotonically_increasing_id`` packs both) and write them once to a
+   table under the checkpoint folder, so both passes read the same tags even
+   if a task is recomputed or an executor is lost (range boundaries come from
+   sampling and are not guaranteed to repeat);
 2. count rows per partition (one row per partition), turn the counts into
    running offsets, and broadcast-join those offsets back (the side is bounded
    by the partition count).
@@ -18,6 +20,7 @@ ties are numbered arbitrarily - as in the SQL this reproduces.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +31,16 @@ from dimwright.session import ensure_checkpoint_dir
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | record number
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once under the checkpoint folder and read it back: the
+    lineage ends there, and every later use sees the same rows."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def max_key(dim: DataFrame, key_col: str) -> Column:
     """Scalar subquery ``(select coalesce(max(key), 0) from dim)``."""
     return dim.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
@@ -35,16 +48,17 @@ def max_key(dim: DataFrame, key_col: str) -> Column:
 
 def assign_keys(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
                 base: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    tagged = (df.repartitionByRange(n, *order)
+    # Without an explicit count the range exchange uses the session's shuffle
+    # partitions and AQE may coalesce them, so a handful of new members do not
+    # produce hundreds of files while a large set still spreads out.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged
                 .sortWithinPartitions(*order)
                 .withColumn("_kp", F.spark_partition_id().cast("long"))
                 .withColumn("_kq", F.monotonically_increasing_id()))
-    tagged = tagged.checkpoint(eager=True)
     tagged = tagged.withColumn("_kq", F.col("_kq") - F.shiftleft(F.col("_kp"), _POS_BITS))
+    tagged = materialize(tagged, "keys")
     offsets = (tagged.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"))
                .withColumn("_ko", F.coalesce(
                    F.sum("_kn").over(Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)),
