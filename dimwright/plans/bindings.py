@@ -307,13 +307,17 @@ def status_grid(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------------ T3 / T4 / D9
 def _event_log(ev: DataFrame) -> DataFrame:
     """Events as flattened change-log rows (S2 shape, missing values '0')."""
+    k = F.get_json_object("props", "$.k")
+    view = F.col("event_type") == "view"
+    handed_over = F.col("value") > 40
+    user = F.concat(F.lit("user"), F.col("user_id").cast("string"))
+    name = F.concat(F.lit("User "), F.col("user_id").cast("string"))
     return ev.select(
         "event_id", _user_key().alias("jira_key"), F.col("event_type").alias("to_status"),
-        F.lit("0").alias("from_status"), F.col("ts").alias("date"),
-        F.get_json_object("props", "$.k").alias("to_id"), F.lit("0").alias("from_id"),
-        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("to_user"), F.lit("0").alias("from_user"),
-        F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("to_user_name"),
-        F.lit("0").alias("from_user_name"))
+        F.when(view, F.lit("Open")).otherwise(F.lit("0")).alias("from_status"), F.col("ts").alias("date"),
+        k.alias("to_id"), F.when(view, k).otherwise(F.lit("0")).alias("from_id"),
+        user.alias("to_user"), F.when(handed_over, user).otherwise(F.lit("0")).alias("from_user"),
+        name.alias("to_user_name"), F.when(handed_over, name).otherwise(F.lit("0")).alias("from_user_name"))
 
 
 def late_and_lookup(spark: SparkSession, d: str) -> DataFrame:
