@@ -30,6 +30,8 @@ FIELDS_T = (
 )
 ISSUE_T = f"struct<id:string, key:string, fields:{FIELDS_T}, changelog:struct<histories:array<{HISTORY_T}>>>"
 ISSUE_PAGE_T = f"struct<startAt:int, total:int, issues:array<{ISSUE_T}>>"
+# Issues kept whole: a string-typed field receives the raw JSON text of the object.
+RAW_ISSUE_PAGE_T = "struct<startAt:int, total:int, issues:array<string>>"
 SPRINT_PAGE_T = ("struct<isLast:boolean, values:array<struct<id:long, name:string, originBoardId:long, "
                  "startDate:string, endDate:string, completeDate:string>>>")
 WORKFLOW_T = "array<struct<name:string, statuses:array<struct<name:string, id:string>>>>"
@@ -84,10 +86,11 @@ def flatten_issues(issues: DataFrame) -> DataFrame:
 
 
 def read_sprint_issue_pages(pages: DataFrame, col: str = "value") -> DataFrame:
-    """Issues of sprint-issue pages, the whole issue kept as JSON text."""
-    iss = _parse(pages, ISSUE_PAGE_T, col).select(F.explode("doc.issues").alias("i"))
-    return iss.select(F.col("i.id").alias("jira_ticket_id"), F.col("i.key").alias("jira_ticket_key"),
-                      F.to_json("i").alias("ticket_details"))
+    """Issues of sprint-issue pages, each issue kept whole as its JSON text
+    (every field, not only those of a schema)."""
+    iss = _parse(pages, RAW_ISSUE_PAGE_T, col).select(F.explode("doc.issues").alias("i"))
+    return iss.select(F.get_json_object("i", "$.id").alias("jira_ticket_id"),
+                      F.get_json_object("i", "$.key").alias("jira_ticket_key"), F.col("i").alias("ticket_details"))
 
 
 # ---------------------------------------------------------------- S2
@@ -172,12 +175,14 @@ def read_projects(docs: DataFrame, col: str = "value") -> DataFrame:
 
 
 # ---------------------------------------------------------------- S8
-def read_sprint_pages(pages: DataFrame, col: str = "value", page_pos: str | None = None) -> DataFrame:
-    """Sprint page values with their position (page order, then position in page)."""
-    v = pages.select(*( [F.col(page_pos).alias("_page")] if page_pos else [F.lit(0).alias("_page")]),
-                     F.from_json(F.col(col), SPRINT_PAGE_T).alias("doc"))
-    v = v.select("_page", F.posexplode("doc.values").alias("_pos", "s"))
-    return v.select("_page", "_pos", F.col("s.id").alias("sprint_number"), F.col("s.name").alias("sprint_name"),
+def read_sprint_pages(pages: DataFrame, col: str = "value", page_pos: str | None = None,
+                      keep: Sequence[str] = ()) -> DataFrame:
+    """Sprint page values with their position (page order, then position in page);
+    ``keep`` columns of the landed rows (such as the board id) are carried along."""
+    page = F.col(page_pos) if page_pos else F.lit(0)
+    v = pages.select(*keep, page.alias("_page"), F.from_json(F.col(col), SPRINT_PAGE_T).alias("doc"))
+    v = v.select(*keep, "_page", F.posexplode("doc.values").alias("_pos", "s"))
+    return v.select(*keep, "_page", "_pos", F.col("s.id").alias("sprint_number"), F.col("s.name").alias("sprint_name"),
                     F.col("s.originBoardId").alias("originBoardId"), F.col("s.startDate").alias("sprint_start_date"),
                     F.col("s.endDate").alias("sprint_end_date"), F.col("s.completeDate").alias("sprint_complete_date"))
 
