@@ -17,7 +17,8 @@ from dimwright.functions.intervals import pending_days
 from dimwright.functions.text import clean_name, key_prefix
 from dimwright.operators import control, dims, facts, sprints, transitions
 from dimwright.operators.keys import assign_keys
-from dimwright.operators.patterns import insert_missing, supersede, update_from
+from dimwright.operators.patterns import insert_missing, update_from
+from dimwright.operators.windows import lag_by_key
 from dimwright.sources import landed
 
 # Fixed parameters of the bindings (the oracle uses the same literals).
@@ -349,13 +350,14 @@ def transition_upsert(spark: SparkSession, d: str) -> DataFrame:
     fact = users.select(_user_key().alias("jira_key"), F.lit(True).alias("is_active"))
     grid = transitions.conform_map(transitions.status_grid(
         fact, st, _empty(spark, "jira_key string, to_status_dim_id long")))
-    typed = ev.join(st, ev["event_type"] == st["jira_status"])
-    per_user = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    log = typed.select(
-        "event_id", _user_key().alias("jira_key"), F.col("ts").alias("date"),
-        F.min("ts").over(Window.partitionBy("user_id")).alias("issue_create_date"),
+    typed = ev.join(st, ev["event_type"] == st["jira_status"]).select(
+        "event_id", "user_id", "ts", "jira_status_dim_id")
+    typed = lag_by_key(typed, "user_id", ["ts", "event_id"], "jira_status_dim_id", "_prev")
+    first = ev.groupBy("user_id").agg(F.min("ts").alias("issue_create_date"))
+    log = typed.join(first, "user_id").select(
+        "event_id", _user_key().alias("jira_key"), F.col("ts").alias("date"), "issue_create_date",
         F.col("jira_status_dim_id").alias("to_status_id"),
-        F.coalesce(F.lag("jira_status_dim_id").over(per_user), F.lit(0)).alias("from_status_id"),
+        F.coalesce(F.col("_prev"), F.lit(0)).alias("from_status_id"),
         (F.col("user_id") + 1).alias("to_assignee_dim_id"), F.lit(0).cast("long").alias("from_assignee_dim_id"))
     out = transitions.upsert_transitions(grid, log, ["date", "event_id"])
     return out.select("jira_key", "to_status_dim_id", "from_status_dim_id", "status_change_date",
@@ -367,12 +369,12 @@ def _event_map(ev: DataFrame) -> DataFrame:
     """Events as transition-map rows (one per event, keyed by user)."""
     type_id = (F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "view", 0)
                .when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 4))
-    m = ev.select(
+    first = ev.groupBy("user_id").agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz").alias("issue_created_date"))
+    m = ev.join(first, "user_id").select(
         "event_id", _user_key().alias("jira_key"), F.col("ts").alias("status_change_date"),
         type_id.cast("long").alias("from_status_dim_id"),
         F.when(F.col("event_type").isin("click", "purchase"), F.col("user_id")).alias("from_assignee_dim_id"),
-        F.when(F.col("value") > 10, F.lit(1).cast("long")).alias("to_assignee_dim_id"),
-        F.date_trunc("day", F.min("ts").over(Window.partitionBy("user_id"))).alias("issue_created_date"))
+        F.when(F.col("value") > 10, F.lit(1).cast("long")).alias("to_assignee_dim_id"), "issue_created_date")
     return transitions.conform_map(m, keep=["event_id"])
 
 

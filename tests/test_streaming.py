@@ -1,0 +1,27 @@
+import json
+import os
+import tempfile
+
+from dimwright.sources import landed
+from dimwright.streaming.landing import landed_pages, run_landed
+
+
+def test_landed_pages_are_picked_up_once(spark):
+    root = tempfile.mkdtemp(prefix="dw-landing-")
+    landing = os.path.join(root, "in")
+    os.makedirs(landing)
+    seen = []
+
+    def process(batch, batch_id):
+        seen.append(sorted(r["key"] for r in landed.read_issue_pages(batch).select("key").collect()))
+
+    def land(name, keys):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write(json.dumps({"startAt": 0, "total": len(keys), "issues": [{"id": k, "key": k} for k in keys]}) + "\n")
+
+    ckpt = os.path.join(root, "ckpt")
+    land("p1.json", ["A-1", "A-2"])
+    run_landed(landed_pages(spark, landing), process, ckpt).awaitTermination()
+    land("p2.json", ["A-3"])
+    run_landed(landed_pages(spark, landing), process, ckpt).awaitTermination()
+    assert seen == [["A-1", "A-2"], ["A-3"]]
