@@ -707,3 +707,158 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental": incremental,
     "checks": checks,
 }
+
+
+# ------------------------------------------------------------------ D1 / D2
+def contact_update(spark: SparkSession, d: str) -> DataFrame:
+    c = _t(spark, d, "customer")
+    dim = c.filter(F.col("c_nationkey") < 20).select(
+        (F.col("c_custkey") + 1).alias("contact_dim_id"), F.col("c_name").alias("contactid"),
+        F.lit("Mx").alias("salutation"), F.col("c_mktsegment").alias("firstname"),
+        F.col("c_nationkey").cast("string").alias("lastname"), F.col("c_name").alias("fullname"),
+        F.lit(None).cast("string").alias("jobtitle"), F.lit(None).cast("string").alias("emailaddress"))
+    source = c.select(F.col("c_name").alias("contactid"),
+                      F.when(F.col("c_acctbal") >= 0, F.lit("Dr")).alias("salutation"),
+                      F.lower("c_mktsegment").alias("firstname"),
+                      F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("lastname"),
+                      F.lower("c_name").alias("fullname"), F.col("c_mktsegment").alias("jobtitle"),
+                      F.concat(F.lower("c_name"), F.lit("@crm.test")).alias("emailaddress1"))
+    out = dims.insert_missing_contacts(dim, source)
+    return dims.update_attributes(out, source, "contactid", "contactid",
+                                  {"salutation": "salutation", "firstname": "firstname", "lastname": "lastname",
+                                   "fullname": "fullname", "jobtitle": "jobtitle", "emailaddress": "emailaddress1"})
+
+
+# ------------------------------------------------------------------ D10
+def product_upsert(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    dim = p.filter(F.col("p_size") <= 30).select(
+        (F.col("p_partkey") + 1).alias("jira_product_dim_id"), F.col("p_name").alias("jira_product_name"),
+        F.col("p_partkey").cast("string").alias("jira_product_api_id"))
+    src = p.select(F.when(F.col("p_size") > 20, F.concat(F.col("p_name"), F.lit(" v2"))).otherwise(F.col("p_name"))
+                   .alias("product_name"), F.col("p_partkey").cast("string").alias("api_id"))
+    return dims.upsert_products(dim, src)
+
+
+# ------------------------------------------------------------------ T8 / T9 / T15
+def transition_fill(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    tmap = transitions.conform_map(ev.select(
+        _user_key().alias("jira_key"), F.col("ts").alias("status_change_date"),
+        F.when(F.col("value") > 10, F.col("user_id")).alias("to_assignee_dim_id"),
+        F.when(F.col("event_type") == "click", F.col("user_id") + 1).alias("from_assignee_dim_id"),
+        ((F.col("event_type") == "purchase") & (F.col("value") > 48)).alias("is_current_assignee")))
+    per_user = ev.groupBy("user_id").agg(
+        F.min("ts").alias("created"),
+        F.when(F.max((F.col("event_type") == "error").cast("int")) == 1, F.max("ts")).alias("resolution_date"),
+        F.max((F.col("event_type") == "signup").cast("int")).alias("_signup"))
+    stage = per_user.select(_user_key().alias("key"), "created", "resolution_date")
+    fact = per_user.select(_user_key().alias("jira_key"), (F.col("_signup") == 1).alias("is_active"),
+                           F.col("user_id").alias("assignee_dim_id"))
+    users = per_user.select(F.col("user_id").alias("jira_user_dim_id"),
+                            F.floor(F.col("user_id") / 10).cast("long").alias("department_dim_id"))
+    out = transitions.copy_resolution(tmap, stage)
+    out = transitions.insert_unchanged_assignee(out, fact, stage)
+    out = transitions.department_of_assignees(out, users)
+    return out.select("jira_key", "status_change_date", "issue_created_date", "issue_resolved_date",
+                      "to_assignee_dim_id", "from_assignee_dim_id", "to_department_dim_id", "from_department_dim_id",
+                      "is_current_assignee")
+
+
+# ------------------------------------------------------------------ C4
+def sprint_issue_load(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem")
+    p = _t(spark, d, "part")
+    lp = li.join(p, li["l_partkey"] == p["p_partkey"])
+    itype = (F.when(F.col("l_returnflag") == "R", F.lit("Sub-task")).when(F.col("l_returnflag") == "A", F.lit("Story")))
+    details = F.concat(F.lit('{"fields":{"issuetype":'),
+                       F.when(itype.isNull(), F.lit("{}")).otherwise(F.concat(F.lit('{"name":"'), itype, F.lit('"}'))),
+                       F.lit("}}"))
+    rows_ = lp.select(F.lit(1).cast("long").alias("team_dim_id"), F.col("l_orderkey").alias("sprint_number"),
+                      F.col("l_partkey").alias("jira_ticket_id"),
+                      F.concat(F.regexp_replace("p_brand", "#", ""), F.lit("-"), F.col("l_partkey").cast("string"))
+                      .alias("jira_ticket_key"), details.alias("issues"), "l_shipdate", "l_linestatus")
+    current = rows_.filter(F.col("l_shipdate") < _ts("1997-01-01 00:00:00")).select(
+        "team_dim_id", "sprint_number", "jira_ticket_id", "jira_ticket_key", F.col("issues").alias("ticket_details"),
+        F.lit(None).cast("long").alias("project_dim_id"), (F.col("l_linestatus") == "F").alias("is_active"),
+        F.col("l_shipdate").alias("date_created"))
+    stage = rows_.filter(F.col("l_shipdate") >= _ts("1996-06-01 00:00:00")).select(
+        "team_dim_id", "sprint_number", "jira_ticket_id", "jira_ticket_key", "issues")
+    project = _name_dim(spark, p, F.regexp_replace("p_brand", "#", ""), "project_dim_id", "project_key")
+    out = sprints.load_sprint_issues(current, stage, project, AS_OF_ORDERS)
+    return out.select("team_dim_id", "sprint_number", "jira_ticket_id", "jira_ticket_key", "project_dim_id",
+                      "is_active", "date_created")
+
+
+# ------------------------------------------------------------------ C3 / C7
+def sprint_marks(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders")
+    li = _t(spark, d, "lineitem")
+    sprint = o.select(F.col("o_orderkey").alias("sprint_number"), F.lit(1).cast("long").alias("team_dim_id"),
+                      F.when(F.col("o_orderstatus") == "F", True).alias("is_issues_loaded"))
+    loaded = li.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("sprint_number"),
+                                                            F.lit(1).cast("long").alias("team_dim_id"))
+    return sprints.mark_loaded(sprint, loaded)
+
+
+def epic_high_water(spark: SparkSession, d: str) -> DataFrame:
+    n = _t(spark, d, "nation")
+    c = _t(spark, d, "customer")
+    project = n.select(F.col("n_nationkey").cast("long").alias("project_dim_id"))
+    epic = c.filter(F.col("c_mktsegment") == "MACHINERY").select(
+        F.col("c_nationkey").cast("long").alias("project_dim_id"), F.col("c_custkey").alias("epic_id"))
+    return sprints.epic_high_water(project, epic)
+
+
+# ------------------------------------------------------------------ F12
+def copy_measures(spark: SparkSession, d: str) -> DataFrame:
+    o = _resolved_orders(spark, d)
+    fact = o.select(F.col("o_orderkey").alias("jira_key"), (F.col("o_orderstatus") != "P").alias("is_active"),
+                    *facts.ticket_measures("o_orderdate", "resolution_date", AS_OF_ORDERS)[:3])
+    stage = o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(F.col("o_orderkey").alias("key"))
+    bridge = _t(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("jira_key"), F.col("l_partkey").alias("jira_product_dim_id"),
+        F.lit(None).cast("long").alias("time_to_close_in_days"), F.lit(None).cast("long").alias("time_to_close_in_hours"),
+        F.lit(None).cast("long").alias("time_to_close_in_minutes"))
+    return facts.copy_measures(bridge, stage, fact)
+
+
+QUERIES.update({
+    "contact_update": contact_update,
+    "product_upsert": product_upsert,
+    "transition_fill": transition_fill,
+    "sprint_issue_load": sprint_issue_load,
+    "sprint_marks": sprint_marks,
+    "epic_high_water": epic_high_water,
+    "copy_measures": copy_measures,
+})
+
+
+# ------------------------------------------------------------------ Q4 / Q5
+def ticket_contact(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders")
+    c = _t(spark, d, "customer")
+    fact = o.select(F.col("o_orderkey").alias("jira_key"), F.col("o_custkey").alias("contact_dim_id"),
+                    (F.col("o_orderstatus") != "P").alias("is_active"))
+    contacts = c.select(F.col("c_custkey").alias("contact_dim_id"), F.col("c_name").alias("contactid"))
+    return facts.ticket_contacts(fact, contacts)
+
+
+def origin_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders")
+    c = _t(spark, d, "customer")
+    incidents = c.select(F.col("c_name").alias("ticketnumber"),
+                         F.when(F.col("c_mktsegment") != "FURNITURE", F.col("c_mktsegment")).alias("caseorigincodename"),
+                         F.col("c_nationkey").alias("caseorigincode"))
+    origin = dims.insert_missing_origins(
+        _empty(spark, "jira_origin_dim_id long, jira_origin_name string, source_case_origin_id long"), incidents)
+    fact = o.select(F.col("o_orderkey").alias("jira_key"), (F.col("o_orderstatus") != "P").alias("is_active"),
+                    F.lit(None).cast("long").alias("jira_origin_dim_id"), F.col("o_orderdate").alias("date_updated"))
+    stage = o.filter(F.col("o_orderpriority") != "5-LOW").select(
+        F.col("o_orderkey").alias("key"), _customer_ref("o_custkey").alias("jira_case"))
+    fact = facts.assign_origin(fact, stage, incidents, origin, AS_OF_ORDERS)
+    all_stage = o.select(F.col("o_orderkey").alias("key"), _customer_ref("o_custkey").alias("jira_case"))
+    return facts.reconcile_origin(fact, all_stage, incidents, origin)
+
+
+QUERIES.update({"ticket_contact": ticket_contact, "origin_reconcile": origin_reconcile})
