@@ -862,3 +862,39 @@ def origin_reconcile(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES.update({"ticket_contact": ticket_contact, "origin_reconcile": origin_reconcile})
+
+
+# ------------------------------------------------------------------ D6 / D8
+FIRST_MINUTES_END = "2024-01-01 00:10:00"
+
+
+def status_upsert(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    k = F.get_json_object("props", "$.k").cast("long")
+    dim = (ev.filter(F.col("ts") < _ts(FIRST_MINUTES_END)).select(F.col("event_type").alias("jira_status")).distinct())
+    dim = assign_keys(dim, ["jira_status"], "jira_status_dim_id").select(
+        "jira_status_dim_id", "jira_status", F.lit(False).alias("is_workflow_status"),
+        F.lit(None).cast("long").alias("jira_api_id"))
+    workflow = ev.groupBy(F.col("event_type").alias("status")).agg(
+        F.min(k).alias("id"), F.max(F.col("event_type") != "error").alias("flag"))
+    return dims.upsert_statuses(dim, workflow)
+
+
+def user_members(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    users = (ev.filter(F.col("ts") < _ts(FIRST_SHIFT_END)).select("user_id").distinct()
+             .select(F.col("user_id").alias("jira_user_dim_id"),
+                     F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("jira_user_id"),
+                     F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("jira_user_name"),
+                     F.lit("SERVICDESK").alias("jira_project"), F.lit(None).cast("string").alias("email_id"),
+                     F.lit(True).alias("is_active")))
+    stage = ev.select(
+        F.when(F.col("event_type") != "view", F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("assignee"),
+        F.when(F.col("event_type") != "view",
+               F.concat(F.lit("User "), F.col("user_id").cast("string"),
+                        F.when(F.col("event_type") == "error", F.lit(" [X]")).otherwise(F.lit(""))))
+        .alias("assignee_name"))
+    return dims.insert_missing_users(users, stage)
+
+
+QUERIES.update({"status_upsert": status_upsert, "user_members": user_members})
