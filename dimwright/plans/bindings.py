@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimwright.functions.intervals import pending_days
-from dimwright.functions.text import clean_name, key_prefix
+from dimwright.functions.text import clean_name
 from dimwright.operators import control, dims, facts, sprints, transitions
 from dimwright.operators.keys import assign_keys
 from dimwright.operators.patterns import insert_missing, update_from
