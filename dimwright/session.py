@@ -18,6 +18,15 @@ _CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Partition sizing for large inputs: scans split at 256 MB, AQE aims shuffle
+# partitions at 256 MB and splits any partition over 4x the median. Applied
+# only where the cluster's own settings leave them unset.
+_SIZING = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
 
 def get_spark(app: str = "dimwright", master: str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -31,6 +40,10 @@ def get_spark(app: str = "dimwright", master: str | None = None,
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    conf = spark.sparkContext.getConf()
+    for k, v in _SIZING.items():
+        if not conf.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
