@@ -114,3 +114,28 @@ def test_incremental_and_checks(spark):
     out = control.run_checks(spark, [control.Check("five", "select count(*) from dw_five", 5),
                                      control.Check("none", "select id from dw_five where id < 0", 1)])
     assert rows(out, "condition", "actual_value", "status") == [("five", 5, "Success"), ("none", 0, "Fail")]
+
+
+def test_origins_two_codes_two_members(spark):
+    dim = spark.createDataFrame([(1, "Email", 2)], "jira_origin_dim_id long, jira_origin_name string, source_case_origin_id long")
+    inc = spark.createDataFrame([("Phone", 1), ("Phone", 3), (None, None), ("Email", 9)],
+                                "caseorigincodename string, caseorigincode int")
+    out = dims.insert_missing_origins(dim, inc)
+    assert rows(out) == [(1, "Email", 2), (2, "None", 0), (3, "Phone", 1), (4, "Phone", 3)]
+
+
+def test_upsert_statuses_update_then_insert(spark):
+    dim = spark.createDataFrame([(1, "Open", False, None), (2, " Done ", False, 7)],
+                                "jira_status_dim_id long, jira_status string, is_workflow_status boolean, jira_api_id long")
+    wf = spark.createDataFrame([("Open", 10, True), ("Done", 11, False), ("Review", None, True)],
+                               "status string, id long, flag boolean")
+    out = dims.upsert_statuses(dim, wf)
+    assert rows(out) == [(1, "Open", True, 10), (2, " Done ", False, 11), (3, "Review", True, 0)]
+
+
+def test_not_in_names_blocked_by_null_member(spark):
+    dim = spark.createDataFrame([(1, None)], "department_dim_id long, department_name string")
+    src = spark.createDataFrame([("Sales",)], "department string")
+    out = dims.insert_missing_names(dim, F.col("department"), src, "department_name", "department_dim_id",
+                                    null_aware=True, default_null=False)
+    assert out.count() == 1
