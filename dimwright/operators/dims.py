@@ -71,10 +71,13 @@ def upsert_statuses(status_dim: DataFrame, workflow: DataFrame) -> DataFrame:
     upd = update_from(status_dim, src, [(trimmed(F.col("t.jira_status")), "_k")],
                       {"is_workflow_status": F.col("s._flag"), "jira_api_id": F.col("s._id")},
                       source_order=["_id", "_flag"])
-    cand = workflow.select(or_default("status").alias("jira_status"), F.col("flag").alias("is_workflow_status"),
-                           F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("jira_api_id"))
-    have = upd.select(trimmed("jira_status").alias("jira_status"))
-    missing = anti_join(cand, have, ["jira_status"])
+    # matched on the trimmed name, inserted with the name as given
+    cand = workflow.select(F.coalesce(F.col("status"), F.lit(DEFAULT_MEMBER)).alias("jira_status"),
+                           F.col("flag").alias("is_workflow_status"),
+                           F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("jira_api_id"),
+                           or_default("status").alias("_k"))
+    have = upd.select(trimmed("jira_status").alias("_k"))
+    missing = anti_join(cand, have, ["_k"]).drop("_k")
     new = assign_keys(missing, ["jira_status", "jira_api_id", "is_workflow_status"], "jira_status_dim_id",
                       base=max_key(upd, "jira_status_dim_id"))
     return upd.unionByName(new, allowMissingColumns=True)
@@ -114,8 +117,8 @@ def insert_missing_users(user_dim: DataFrame, stage: DataFrame, project: str = "
         "jira_user_id",
         F.trim(F.replace(F.col("_name"), marker, F.lit(""))).alias("jira_user_name"),
         F.lit(project).alias("jira_project"), F.lit(DEFAULT_MEMBER).alias("email_id"),
-        F.when(F.col("_name").endswith(INACTIVE_USER_MARKER), False)
-         .when(F.col("_name").isNotNull(), True).alias("is_active"))
+        # LIKE on a null name is null, so the CASE falls through to active
+        F.when(F.col("_name").endswith(INACTIVE_USER_MARKER), False).otherwise(True).alias("is_active"))
     new = assign_keys(rows, ["jira_user_id", "jira_user_name", "is_active"], "jira_user_dim_id",
                       base=max_key(user_dim, "jira_user_dim_id"))
     return user_dim.unionByName(new, allowMissingColumns=True)

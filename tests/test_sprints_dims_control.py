@@ -61,7 +61,7 @@ def test_insert_missing_users_marker(spark):
     stage = spark.createDataFrame([("ann", "Ann [X]"), ("bob", "Bob"), (None, None)], "assignee string, assignee_name string")
     out = dims.insert_missing_users(users, stage)
     assert rows(out, "jira_user_dim_id", "jira_user_id", "jira_user_name", "is_active") == [
-        (4, "bob", "Bob", None), (5, "None", None, None), (6, "ann", "Ann", False)]
+        (4, "bob", "Bob", None), (5, "None", None, True), (6, "ann", "Ann", False)]
 
 
 def test_fuzzy_assign_tie_and_chunks(spark):
