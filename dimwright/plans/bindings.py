@@ -898,3 +898,23 @@ def user_members(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES.update({"status_upsert": status_upsert, "user_members": user_members})
+
+
+# ------------------------------------------------------------------ S5
+def landed_users(spark: SparkSession, d: str) -> DataFrame:
+    """User-list pages (one per 100 events, users in event order) read back with
+    S5: four columns, the first row per user key (page position, then values)."""
+    ev = _t(spark, d, "events")
+    user = F.struct(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("key"),
+                    F.concat(F.lit("User "), F.col("user_id").cast("string"), F.lit(" #"),
+                             F.col("event_id").cast("string")).alias("displayName"),
+                    F.when(F.col("value") > 20, F.concat(F.lit("u"), F.col("user_id").cast("string"),
+                                                         F.lit("@mail.test"))).alias("emailAddress"),
+                    (F.col("event_type") != "error").alias("active"))
+    pages = (ev.groupBy(F.floor(F.col("event_id") / ISSUES_PER_PAGE).alias("_page"))
+             .agg(F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("_o"), user.alias("u")))).alias("_us"))
+             .select(F.to_json(F.transform("_us", lambda x: x["u"])).alias("value")))
+    return landed.read_users(pages)
+
+
+QUERIES.update({"landed_users": landed_users})
