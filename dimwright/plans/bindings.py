@@ -941,3 +941,32 @@ def landed_statuses(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES.update({"landed_statuses": landed_statuses})
+
+
+# ------------------------------------------------------------------ S6 / S7
+def landed_products(spark: SparkSession, d: str) -> DataFrame:
+    """Product pages (per 100 parts: one project, an issue type with the product
+    field listing the parts' names and an issue type without it) read with S6."""
+    p = _t(spark, d, "part")
+    val = F.struct(F.col("p_name").alias("value"), F.col("p_partkey").cast("string").alias("id"))
+    with_field = F.to_json(F.struct(F.struct(F.struct(F.col("_v").alias("allowedValues")).alias("customfield_13609"))
+                                    .alias("fields")))
+    doc = (p.groupBy(F.floor(F.col("p_partkey") / ISSUES_PER_PAGE).alias("_g"))
+           .agg(F.collect_list(val).alias("_v"))
+           .select(F.concat(F.lit('{"projects": [{"issuetypes": ['), with_field,
+                            F.lit(', {"fields": {"summary": {}}}]}]}')).alias("value")))
+    return landed.read_products(doc)
+
+
+def landed_projects(spark: SparkSession, d: str) -> DataFrame:
+    """Project lists (per 100 suppliers, each listed twice) read with S7."""
+    s = _t(spark, d, "supplier")
+    proj = F.struct(F.col("s_suppkey").cast("string").alias("id"),
+                    F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("name"))
+    doc = (s.groupBy(F.floor(F.col("s_suppkey") / ISSUES_PER_PAGE).alias("_g"))
+           .agg(F.collect_list(proj).alias("_p"))
+           .select(F.to_json(F.concat("_p", "_p")).alias("value")))
+    return landed.read_projects(doc)
+
+
+QUERIES.update({"landed_products": landed_products, "landed_projects": landed_projects})
