@@ -19,6 +19,7 @@ from dimwright.operators import control, dims, facts, sprints, transitions
 from dimwright.operators.keys import assign_keys
 from dimwright.operators.patterns import insert_missing, update_from
 from dimwright.operators.windows import lag_by_key
+from dimwright.plans import jobs
 from dimwright.sources import landed
 
 # Fixed parameters of the bindings (the oracle uses the same literals).
@@ -970,3 +971,65 @@ def landed_projects(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES.update({"landed_products": landed_products, "landed_projects": landed_projects})
+
+
+# ------------------------------------------------------------------ S9
+def landed_sprint_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Sprint-issue pages (per 100 events) whose issues carry a field no schema
+    lists (``fields.epic.id``); S9 keeps each issue whole, so it reads back."""
+    ev = _t(spark, d, "events")
+    issue = F.struct(F.col("event_id").cast("string").alias("id"),
+                     F.concat(F.lit("EV-"), F.col("event_id").cast("string")).alias("key"),
+                     F.struct(F.struct(F.col("event_type").alias("name")).alias("issuetype"),
+                              F.struct(F.get_json_object("props", "$.k").alias("id")).alias("epic")).alias("fields"))
+    pages = (ev.groupBy(F.floor(F.col("event_id") / ISSUES_PER_PAGE).alias("_page"))
+             .agg(F.collect_list(issue).alias("_i"))
+             .select(F.to_json(F.struct(F.size("_i").alias("total"), F.col("_i").alias("issues"))).alias("value")))
+    out = landed.read_sprint_issue_pages(pages)
+    return out.select(F.col("jira_ticket_id").cast("long").alias("jira_ticket_id"), "jira_ticket_key",
+                      F.get_json_object("ticket_details", "$.fields.epic.id").cast("long").alias("epic_id"),
+                      F.get_json_object("ticket_details", "$.fields.issuetype.name").alias("issue_type"))
+
+
+# ------------------------------------------------------------------ S10 / S10b
+EPIC_AFTER_ID = 100
+
+
+def landed_epics(spark: SparkSession, d: str) -> DataFrame:
+    """Epic pages (per 100 customers) read with S10 above a lower bound; names cleaned."""
+    c = _t(spark, d, "customer")
+    epic = F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.concat(F.lit("EP-"), F.col("c_custkey").cast("string")).alias("key"),
+        F.struct(F.concat(F.col("c_name"), F.lit(" ("), F.col("c_mktsegment"), F.lit(")!")).alias("customfield_10416"),
+                 F.col("c_acctbal").alias("customfield_12741"), F.col("c_mktsegment").alias("customfield_12740"),
+                 F.lit("2024-01-01T08:00:00.000-0500").alias("created"),
+                 F.when(F.col("c_acctbal") < 0, F.lit("2024-02-01T08:00:00.000-0500")).alias("resolutiondate"))
+        .alias("fields"))
+    pages = (c.groupBy(F.floor(F.col("c_custkey") / ISSUES_PER_PAGE).alias("_g"))
+             .agg(F.collect_list(epic).alias("_e")).select(F.to_json(F.struct(F.col("_e").alias("issues"))).alias("value")))
+    e = landed.read_epics(pages, after_id=EPIC_AFTER_ID)
+    return e.select(clean_name("epic_name").alias("epic_name"), "epic_id", "epic_key", "aha_score", "is_closed",
+                    "aha_reference")
+
+
+# ------------------------------------------------------------------ S11 / D16 / E3
+def board_load(spark: SparkSession, d: str) -> DataFrame:
+    """E3 on board pages rendered from nation (one page per region); boards of
+    region 0 are already known."""
+    n = _t(spark, d, "nation")
+    view = F.struct(F.col("n_nationkey").cast("long").alias("id"),
+                    F.concat(F.col("n_name"), F.lit(" board #"), F.col("n_regionkey").cast("string")).alias("name"),
+                    F.struct(F.struct(F.concat(F.lit("owner"), F.col("n_regionkey").cast("string")).alias("userName"),
+                                      F.concat(F.lit("Owner "), F.col("n_regionkey").cast("string")).alias("displayName"))
+                             .alias("owner")).alias("filter"))
+    pages = (n.groupBy("n_regionkey").agg(F.collect_list(view).alias("_v"))
+             .select(F.to_json(F.struct(F.col("_v").alias("views"))).alias("value")))
+    known = n.filter(F.col("n_regionkey") == 0).select(
+        (F.col("n_nationkey") + 1).cast("long").alias("rapidview_dim_id"), F.col("n_nationkey").cast("long").alias("rapidview_id"),
+        F.col("n_name").alias("rapidview_name"), F.lit("old").alias("owner_id"), F.lit("Old").alias("owner_name"),
+        _ts("2023-01-01 00:00:00").alias("date_created"), F.lit(True).alias("is_active"))
+    return jobs.board_load(known, pages, AS_OF_EVENTS)
+
+
+QUERIES.update({"landed_sprint_issues": landed_sprint_issues, "landed_epics": landed_epics,
+                "board_load": board_load})

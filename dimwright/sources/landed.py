@@ -197,17 +197,20 @@ def number_sprints(sprints: DataFrame, order_by: Sequence[str], max_serial: int,
 
 
 # ---------------------------------------------------------------- S10 / S10b / S11
-def read_epics(docs: DataFrame, after_id: int = 0, col: str = "value") -> DataFrame:
+def read_epics(docs: DataFrame, after_id: int | str = 0, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Epic fields and ``is_closed``; ids above ``after_id`` (the request's
-    lower bound)."""
-    e = _parse(docs, EPIC_PAGE_T, col).select(F.explode("doc.issues").alias("e"))
-    out = e.select(F.col("e.fields.customfield_10416").alias("epic_name"), F.col("e.id").cast("long").alias("epic_id"),
+    lower bound: a number, or the name of a column of ``docs`` holding each
+    page's bound). ``keep`` columns of ``docs`` are carried along."""
+    bound = F.col(after_id) if isinstance(after_id, str) else F.lit(after_id)
+    e = docs.select(*keep, bound.alias("_after"), F.explode(F.from_json(F.col(col), EPIC_PAGE_T)["issues"]).alias("e"))
+    out = e.select(*keep, "_after",
+                   F.col("e.fields.customfield_10416").alias("epic_name"), F.col("e.id").cast("long").alias("epic_id"),
                    F.col("e.key").alias("epic_key"), F.col("e.fields.customfield_12741").alias("aha_score"),
                    F.col("e.fields.resolutiondate").isNotNull().alias("is_closed"),
                    F.col("e.fields.created").alias("date_created"), F.col("e.fields.updated").alias("date_updated"),
                    F.col("e.fields.resolutiondate").alias("date_resolved"),
                    F.col("e.fields.customfield_12740").alias("aha_reference"))
-    return out.filter(F.col("epic_id") > after_id)
+    return out.filter(F.col("epic_id") > F.col("_after")).drop("_after")
 
 
 def read_boards(docs: DataFrame, col: str = "value") -> DataFrame:
