@@ -53,3 +53,13 @@ def test_department_lines_and_serials(spark):
     out = landed.number_sprints(sp, ["pos"], 100, 5, team_dim_id=3)
     # serial counts every listed sprint, then the other board's sprint is dropped
     assert rows(out, "sprint_number", "sprint_serial_id") == [(11, 101), (13, 103)]
+
+
+def test_department_csv_file_and_table_reads(spark, tmp_path):
+    f = tmp_path / "mapping.csv"
+    f.write_text("displayName,SamAccountName,Department\nAnn Lee,alee,Support\nBob Roe,,\n")
+    got = rows(landed.read_department_csv(spark, str(f)))
+    assert got == [("Ann Lee", "alee", "Support"), ("Bob Roe", None, None)]
+    path = landed.write_stage(spark.range(4).withColumn("x", F.col("id") * 2), str(tmp_path / "stage"), 7)
+    assert path.endswith("run_id=7")
+    assert rows(landed.read_table(spark, path, ["x"])) == [(0,), (2,), (4,), (6,)]
