@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimwright.operators.keys import assign_keys
@@ -196,6 +196,25 @@ def number_sprints(sprints: DataFrame, order_by: Sequence[str], max_serial: int,
             .drop("originBoardId").distinct())
 
 
+def number_board_sprints(listed: DataFrame, high_water: DataFrame) -> DataFrame:
+    """S8 for many boards at once: serial = the board's high water (C1) + the
+    position over *all* sprints listed for the board (earlier pages first).
+
+    ``listed`` comes from :func:`read_sprint_pages` with ``board_id`` kept. The
+    position is the count of entries on the board's earlier pages plus the
+    position on the page; the running sum runs over one row per (board, page),
+    never over the sprints, so a long board list is not gathered in one task.
+    """
+    page_sizes = listed.groupBy("board_id", "_page").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("board_id").orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = page_sizes.select("board_id", "_page", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    hw = high_water.select(F.col("jira_rapid_view_id").alias("board_id"), F.col("sprint_number").alias("_hw"),
+                           "team_dim_id")
+    return (listed.join(offsets, ["board_id", "_page"]).join(hw, "board_id")
+            .withColumn("sprint_serial_id", (F.col("_hw") + F.col("_before") + F.col("_pos") + 1).cast("long"))
+            .drop("_before", "_hw"))
+
+
 # ---------------------------------------------------------------- S10 / S10b / S11
 def read_epics(docs: DataFrame, after_id: int | str = 0, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Epic fields and ``is_closed``; ids above ``after_id`` (the request's

@@ -63,3 +63,16 @@ def test_department_csv_file_and_table_reads(spark, tmp_path):
     path = landed.write_stage(spark.range(4).withColumn("x", F.col("id") * 2), str(tmp_path / "stage"), 7)
     assert path.endswith("run_id=7")
     assert rows(landed.read_table(spark, path, ["x"])) == [(0,), (2,), (4,), (6,)]
+
+
+def test_board_sprint_serials_across_pages(spark):
+    def page(board, n, values):
+        return (json.dumps({"isLast": False, "values": [{"id": i, "name": f"s{i}", "originBoardId": b}
+                                                        for i, b in values]}), board, n)
+    pages = spark.createDataFrame([page(5, 0, [(1, 5), (2, 9)]), page(5, 1, [(3, 5)]), page(6, 0, [(4, 6)])],
+                                  "value string, board_id long, page long")
+    hw = spark.createDataFrame([(10, 5, 1), (0, 6, 2)], "sprint_number long, jira_rapid_view_id long, team_dim_id long")
+    listed = landed.read_sprint_pages(pages, page_pos="page", keep=["board_id"])
+    out = landed.number_board_sprints(listed, hw).filter(F.col("originBoardId") == F.col("board_id"))
+    # board 5: sprint 2 belongs to board 9 but still counts for the position
+    assert rows(out, "sprint_number", "sprint_serial_id", "team_dim_id") == [(1, 11, 1), (3, 13, 1), (4, 1, 2)]
