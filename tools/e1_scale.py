@@ -102,6 +102,14 @@ def main() -> None:
     same_map = (spark.read.parquet(paths2["transition_map"]).exceptAll(spark.read.parquet(paths["transition_map"]))
                 .count() == 0 and counts2["transition_map"] == counts["transition_map"])
     print({"run": 2, "seconds": round(secs2, 1), **counts2, "active_facts": active, "transition_map_unchanged": same_map})
+    # the same second run, incremental (flags and dedup only for the run's tickets)
+    t0 = time.perf_counter()
+    out3 = jobs.ticket_load(wh2, pages, "2024-02-02 00:00:00", 3, incremental=True)
+    paths3 = jobs.write_snapshot(out3, os.path.join(scratch, "wh"), 3)
+    secs3 = time.perf_counter() - t0
+    m2, m3 = spark.read.parquet(paths2["transition_map"]), spark.read.parquet(paths3["transition_map"])
+    same = m2.exceptAll(m3).count() == 0 and m3.exceptAll(m2).count() == 0
+    print({"run": "2-incremental", "seconds": round(secs3, 1), "transition_map_equals_full_run": same})
     spark.stop()
 
 
