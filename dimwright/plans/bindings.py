@@ -922,6 +922,12 @@ QUERIES.update({"landed_users": landed_users})
 
 
 # ------------------------------------------------------------------ S3 / S4 / S4b
+def _in_event_order(c: Column) -> Column:
+    """The group's values of ``c`` as an array, in event-id order."""
+    ordered = F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("_o"), c.alias("s"))))
+    return F.transform(ordered, lambda x: x["s"])
+
+
 def landed_statuses(spark: SparkSession, d: str) -> DataFrame:
     """Workflow pages (per 100 events: one issue type whose statuses are the
     events' types, id = props.k) and resolution pages (error events land as
@@ -932,12 +938,10 @@ def landed_statuses(spark: SparkSession, d: str) -> DataFrame:
     st = F.struct(F.col("event_type").alias("name"), k.alias("id"))
     res = F.struct(F.when(F.col("event_type") == "error", F.lit("Closed")).otherwise(F.col("event_type")).alias("name"),
                    (k.cast("long") + 1000).cast("string").alias("id"))
-    ordered = lambda c: F.transform(F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("_o"), c.alias("s")))),
-                                    lambda x: x["s"])
-    wf = ev.groupBy(page).agg(ordered(st).alias("_s")).select(
+    wf = ev.groupBy(page).agg(_in_event_order(st).alias("_s")).select(
         F.to_json(F.array(F.struct(F.concat(F.lit("type "), F.col("_page").cast("string")).alias("name"),
                                    F.col("_s").alias("statuses")))).alias("value"))
-    rs = ev.groupBy(page).agg(ordered(res).alias("_s")).select(F.to_json("_s").alias("value"))
+    rs = ev.groupBy(page).agg(_in_event_order(res).alias("_s")).select(F.to_json("_s").alias("value"))
     return landed.union_statuses(landed.read_workflow_statuses(wf), landed.read_resolutions(rs))
 
 
