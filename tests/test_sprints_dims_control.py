@@ -139,3 +139,12 @@ def test_not_in_names_blocked_by_null_member(spark):
     out = dims.insert_missing_names(dim, F.col("department"), src, "department_name", "department_dim_id",
                                     null_aware=True, default_null=False)
     assert out.count() == 1
+
+
+def test_active_teams_and_staged_keys(spark):
+    from dimwright.operators import transitions
+    team = spark.createDataFrame([(1, "A", 10, True), (2, "B", 20, False), (3, "C", 30, None)],
+                                 "team_dim_id long, team_name string, jira_rapid_view_id long, is_active boolean")
+    assert rows(sprints.active_teams(team)) == [(1, "A", 10)]
+    stage = spark.createDataFrame([("K1",), ("K1",), ("K2",)], "key string")
+    assert rows(transitions.staged_keys(stage)) == [("K1",), ("K2",)]
