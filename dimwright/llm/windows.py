@@ -270,8 +270,8 @@ def meet_runs(batches: Iterator[pa.RecordBatch], spec: Spec, parts: int) -> Iter
     """Runs of a bucket of anchors: spans of whole repeats (kind 1), runs to look into (kind 2)."""
     for part, rows in grouped(batches, "kind", "payload"):
         got = [unpack(p, RUN) for kind, p in rows if kind == 0]
-        if done := [p for kind, p in rows if kind == 1]:
-            yield _rows([part] * len(done), 1, done)
+        if done := [unpack(p, SPAN) for kind, p in rows if kind == 1]:
+            yield _rows([part], 1, [pack(joined(np.concatenate(done)))])
         if not got:
             continue
         r, again = _repeats(np.concatenate(got))
@@ -386,7 +386,7 @@ def repeated_spans(docs: DataFrame, spec: Spec, finish: Callable, schema: str) -
     """``finish(doc_id, text, spans)`` of every row of docs(doc_id, text): spans are
     the [lo, hi) symbol ranges covered by windows that start in a smaller document."""
     spark = docs.sparkSession
-    parts = width(spark) * 2
+    parts = width(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).withColumn(
         "uid", F.xxhash64("doc_id", "text"))
     sort = lambda x: x.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind")
