@@ -8,6 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dimwright.llm.common import table
+from dimwright.llm.decontam import decontaminate
+from dimwright.llm.minhash import near_duplicates
+from dimwright.llm.sharding import minimax_shards
 from dimwright.llm.substring import substring_dedup
 from dimwright.llm.suffix import suffix_dedup
 
@@ -16,11 +19,23 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minimax_shards(table(spark, sf_dir, "documents"))
+
+
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_dedup, op10_substring_dedup)}
+    f.__name__: f for f in (op2_suffix_dedup, op4_sharding, op8_minhash, op9_decontamination, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
