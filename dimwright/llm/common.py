@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,22 +43,22 @@ def columns_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple
 
 
 def by_size(batches: Iterator[pa.RecordBatch], text: str, names: list[str], most: int) -> Iterator[tuple[list, ...]]:
-    """Like columns_of, cut into pieces of about ``most`` bytes of ``text`` (one row at least)."""
+    """Like columns_of, in pieces of about ``most`` bytes of the binary column ``text`` (one row at least)."""
     for b in batches:
-        cols = [b.column(n).to_pylist() for n in names]
-        t = cols[names.index(text)]
+        sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False)
         lo = got = 0
-        for i, x in enumerate(t):
-            got += len(x) if x else 0
-            if got >= most or i == len(t) - 1:
-                yield tuple(c[lo:i + 1] for c in cols)
+        for i, n in enumerate(sizes.tolist()):
+            got += n
+            if got >= most or i == len(sizes) - 1:
+                piece = b.slice(lo, i + 1 - lo)
+                yield tuple(piece.column(n).to_pylist() for n in names)
                 lo, got = i + 1, 0
 
 
 class Memo(dict):
     """dict that computes missing values with ``fn`` and is emptied when ``most`` keys are held."""
 
-    def __init__(self, fn, most: int = 1_000_000):
+    def __init__(self, fn, most: int = 300_000):
         super().__init__()
         self.fn, self.most = fn, most
 

@@ -127,7 +127,7 @@ class Index:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
-    for ids, uids, texts in by_size(batches, "text", ["doc_id", "uid", "text"], 4_000_000):
+    for ids, uids, texts in by_size(batches, "text", ["doc_id", "uid", "text"], 2_000_000):
         batch = [words(t) for t in texts]
         hits = index.hits(batch)
         yield pa.record_batch([

@@ -72,7 +72,7 @@ def needed(n: Column) -> Column:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in by_size(batches, "text", ["doc_id", "text"], 4_000_000):
+    for ids, texts in by_size(batches, "text", ["doc_id", "text"], 2_000_000):
         sets = [shingles(t) for t in texts]
         mark = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"\0" * 16 for s in sets]
         c = np.frombuffer(b"".join(mark), "<i8").reshape(-1, 2)
@@ -81,7 +81,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for *head, texts in by_size(batches, "text", ["id", "grp", "nb", "b", "text"], 4_000_000):
+    for *head, texts in by_size(batches, "text", ["id", "grp", "nb", "b", "text"], 2_000_000):
         yield pa.record_batch([*(pa.array(h, pa.int64()) for h in head), pa.array([shingles(t).tobytes() for t in texts], pa.binary())],
                               names=["id", "grp", "nb", "b", "set"])
 
