@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 from dimwright.llm.common import table
 from dimwright.llm.decontam import decontaminate
 from dimwright.llm.minhash import near_duplicates
+from dimwright.llm.packing import pack_documents
 from dimwright.llm.sharding import minimax_shards
+from dimwright.llm.simple8b import read_token_files, write_token_files
 from dimwright.llm.substring import substring_dedup
 from dimwright.llm.suffix import suffix_dedup
 
@@ -23,6 +27,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minimax_shards(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +48,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_dedup, op4_sharding, op8_minhash, op9_decontamination, op10_substring_dedup)}
+    f.__name__: f for f in (op2_suffix_dedup, op3_packing, op4_sharding, op5_token_files, op8_minhash, op9_decontamination, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,121 @@
+import random
+import zlib
+from functools import lru_cache
+
+import numpy as np
+import public_tokenizers
+from llm.fixture import SCHEMA, documents
+from tokenizers import Tokenizer
+
+from dimwright.llm import packing, simple8b
+from dimwright.llm.packing import best_cuts, pack_documents
+from dimwright.llm.simple8b import decode_words, encode_block, read_payload, read_token_files, write_payload, write_token_files
+from dimwright.llm.tokens import Encoder
+
+BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+ODD = ["", " ", "  a", "a  b", "a \n b", "it's 'S  ok", "x y z", "a  b", "\ta b\t", "é a", "ΣΑΣ ΣΑΣ.", "a <|endoftext|> b", "... , . 1234 5",
+       "end ", "a\x1c b", "tab\t b", "ﬁ İ i̇ ẞ", "don't 've  'll"]
+
+
+@lru_cache
+def tokenizer(path):
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    return t
+
+
+def plain(path, text):
+    return tokenizer(path).encode(text, add_special_tokens=False).ids
+
+
+def test_memoised_encoding_equals_the_library():
+    rng = random.Random(5)
+    chars = ["a", "B", " ", " ", "\n", "é", "'s", ".", ",", "7", "東", "\t", " ", "é", "\x1d", "\u200b", "\u0301", "\n", "\0"]
+    texts = ODD + ["".join(rng.choice(chars) for _ in range(rng.randrange(60))) for _ in range(600)]
+    for path, spaced in ((BYTE, True), (WORD, False)):
+        for _ in range(2):
+            assert [x.tolist() for x in Encoder(path, spaced).batch(texts)] == [plain(path, t) for t in texts]
+
+
+def test_simple8b_round_trip():
+    rng = np.random.default_rng(1)
+    for x in (np.zeros(0), np.zeros(5000), np.full(9000, 50256), rng.integers(0, 50257, 20000), rng.integers(0, 3, 8192),
+              np.array([2**63, 14 << 60, 2**60, 0, 5, 2**60 - 1, 15 << 60])):
+        x = x.astype(np.uint64)
+        blocks = [encode_block(x[i:i + 4096]) for i in range(0, len(x), 4096)]
+        first = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype(np.uint64)
+        words = np.concatenate(blocks) if blocks else np.zeros(0, np.uint64)
+        assert (decode_words(words, first, len(x)) == x).all()
+    docs = [rng.integers(0, 50257, n).astype(np.uint32) for n in (1, 5000, 3, 4096)]
+    ids, back = read_payload(write_payload([4, None, 6, -1], docs))
+    assert ids == [4, None, 6, -1] and all((a == b).all() for a, b in zip(docs, back))
+    assert len(encode_block(np.zeros(60, np.uint64))) == 1
+
+
+def test_token_files(spark):
+    docs = documents(spark).repartition(4)
+    got = read_token_files(write_token_files(docs, BYTE, payload=2000)).collect()
+    want = {}
+    for r in docs.select("doc_id", "text").collect():
+        ids = np.array([*plain(BYTE, r.text or ""), 0], "<u4")
+        want.setdefault(r.doc_id, []).append((len(ids), zlib.crc32(ids.tobytes())))
+    assert {d: sorted((r.n_tokens, r.ids_crc32) for r in got if r.doc_id == d) for d in want} == {d: sorted(v) for d, v in want.items()}
+    at, last = 0, -1
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at and (r.doc_id if r.doc_id is not None else -1) >= last
+        at, last = at + r.n_tokens, r.doc_id if r.doc_id is not None else -1
+    assert read_token_files(write_token_files(spark.createDataFrame([], SCHEMA), BYTE)).collect() == []
+
+
+def test_cuts_are_the_best():
+    rng = random.Random(2)
+    for _ in range(200):
+        at = [0]
+        for _ in range(rng.randrange(1, 9)):
+            at.append(at[-1] + rng.randrange(1, 10))
+        pen = [rng.choice([0, 2, 9]) for _ in at]
+        def cost(cuts):
+            return sum(10 - (b - a) for a, b in zip(cuts, cuts[1:])) + sum(pen[at.index(c)] for c in cuts[1:])
+        every = [[0, *[c for k, c in enumerate(at[1:-1]) if m >> k & 1], at[-1]] for m in range(2 ** (len(at) - 2))]
+        every = [c for c in every if all(b - a <= 10 for a, b in zip(c, c[1:]))]
+        assert cost(best_cuts(at, pen, 10)) == min(map(cost, every))
+
+
+def test_pieces(spark, monkeypatch):
+    docs = documents(spark).repartition(3)
+    got = pack_documents(docs, WORD).collect()
+    want = sorted((r.doc_id if r.doc_id is not None else -1, [*plain(WORD, r.text or ""), 1]) for r in docs.select("doc_id", "text").collect())
+    total = sum(len(x) for _, x in want)
+    seqs = {}
+    for r in got:
+        ids = np.frombuffer(r.ids, "<u4")
+        assert len(ids) == r.length > 0 and zlib.crc32(r.ids) == r.ids_crc32
+        seqs.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for s in seqs.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at
+            at += n
+        assert at <= 2048
+    assert sum(r.length for r in got) == total
+    assert len(seqs) * 2048 - total < 3 * 2048 + 0.01 * total
+    once = {d: x for d, x in want if sum(e == d for e, _ in want) == 1}
+    for d, x in once.items():
+        pieces = sorted((r.start, r.ids, r.doc_tokens) for r in got if r.doc_id == d)
+        assert np.frombuffer(b"".join(p for _, p, _ in pieces), "<u4").tolist() == x
+        assert all(n == len(x) for *_, n in pieces)
+    assert pack_documents(spark.createDataFrame([], SCHEMA), WORD).collect() == []
+
+
+def test_stretches_join(spark, monkeypatch):
+    """Planning in small stretches cuts no sequence short but the last."""
+    from dimwright.llm.packing import _pack
+    import pyarrow as pa
+    monkeypatch.setattr(packing, "STRETCH", 3000)
+    monkeypatch.setattr(packing, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    texts = [f"some words here {i}. and more of them. " * (i % 90) for i in range(300)]
+    batches = [pa.record_batch([pa.array(range(i, i + 30)), pa.array([t.encode() for t in texts[i:i + 30]], pa.binary())], names=["doc_id", "text"]) for i in range(0, 300, 30)]
+    out = pa.Table.from_batches(list(_pack(iter(batches), WORD, 2048, False))).to_pandas()
+    fill = out.groupby("sequence_id").length.sum()
+    assert (fill.iloc[:-1] > 2000).all() and fill.max() <= 2048
+    assert (out.groupby("doc_id").length.sum() == out.groupby("doc_id").doc_tokens.first()).all()
