@@ -384,9 +384,10 @@ def look_into(batches: Iterator[pa.RecordBatch], spec: Spec, parts: int) -> Iter
 
 def repeated_spans(docs: DataFrame, spec: Spec, finish: Callable, schema: str) -> DataFrame:
     """``finish(doc_id, text, spans)`` of every row of docs(doc_id, text): spans are
-    the [lo, hi) symbol ranges covered by windows that start in a smaller document."""
-    spark = docs.sparkSession
-    parts = width(spark)
+    the [lo, hi) symbol ranges covered by windows that start in a smaller document.
+    uid, the hash of doc_id and text, is added."""
+    parts = width(docs.sparkSession)
+    schema += ", uid long"
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).withColumn(
         "uid", F.xxhash64("doc_id", "text"))
     sort = lambda x: x.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind")
@@ -403,7 +404,8 @@ def repeated_spans(docs: DataFrame, spec: Spec, finish: Callable, schema: str) -
             rows = []
             for doc, uid, t in zip(ids, uids, texts):
                 s = joined(at(uid))
-                rows.append(finish(doc, b"" if t is None else z.decompress(t), s["lo"].astype(np.int64), s["hi"].astype(np.int64)))
+                text = b"" if t is None else z.decompress(t)
+                rows.append((*finish(doc, text, s["lo"].astype(np.int64), s["hi"].astype(np.int64)), uid))
             yield pa.record_batch([pa.array(c, ARROW[k]) for c, k in zip(zip(*rows), kinds)], names=list(names))
 
     return sort(texts.union(found.where("kind = 1")).union(more)).mapInArrow(last, schema)
