@@ -138,7 +138,7 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Record
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, n_words, spans, items in columns_of(batches, "doc_id", "n_words", "spans", "items"):
+    for ids, uids, n_words, spans, items in columns_of(batches, "doc_id", "uid", "n_words", "spans", "items"):
         n_hit, names = [], []
         for n, parts, lists in zip(n_words, spans, items):
             hit = np.zeros(n + 1, np.int64)
@@ -150,12 +150,13 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names.append(sorted({x for part in lists for x in part}))
         yield pa.record_batch([
             pa.array(ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
-            pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array([x > 0 for x in n_hit])],
-            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array([x > 0 for x in n_hit]), pa.array(uids, pa.int64())],
+            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "uid"])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) per row of docs(doc_id, text)."""
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, uid) per row of docs(doc_id, text);
+    uid is the hash of doc_id and text."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              F.col("text").cast("binary").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -173,4 +174,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     rows = (found.groupBy("doc_id", "uid", "n_words")
             .agg(F.collect_set("spans").alias("spans"), F.collect_set("items").alias("items"), (F.count(F.lit(1)) / blocks).cast("int").alias("r"))
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("r")))))
-    return rows.mapInArrow(_finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return rows.mapInArrow(_finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, uid long")

@@ -11,16 +11,23 @@ import public_tokenizers
 
 from dimwright.llm.common import table
 from dimwright.llm.decontam import decontaminate
+from dimwright.llm.embeddings import near_vectors
+from dimwright.llm.langid import identify, learn
 from dimwright.llm.minhash import near_duplicates
 from dimwright.llm.packing import pack_documents
 from dimwright.llm.sharding import minimax_shards
 from dimwright.llm.simple8b import read_token_files, write_token_files
 from dimwright.llm.substring import substring_dedup
 from dimwright.llm.suffix import suffix_dedup
+from dimwright.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept_text", "uid")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,19 +42,30 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, learn(docs))
+
+
+def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("uid")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text", "uid")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_dedup, op3_packing, op4_sharding, op5_token_files, op8_minhash, op9_decontamination, op10_substring_dedup)}
+    f.__name__: f for f in (
+        op1_toxicity, op2_suffix_dedup, op3_packing, op4_sharding, op5_token_files, op6_language, op7_embedding_join,
+        op8_minhash, op9_decontamination, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
