@@ -127,9 +127,9 @@ def _predict(batches: Iterator[pa.RecordBatch], profiles: Profiles | None) -> It
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Profiles | None:
     """Profiles from docs(doc_id, text, lang): at most ``sample`` texts a language."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").where(F.col("lang").isNotNull() & ~held_out("doc_id"))
-    per = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    per = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))       # a row a language
     order = F.xxhash64("doc_id")
-    few = (known.join(per, "lang").where(F.pmod(order, F.lit(1_000_000)) < 2_000_000.0 * sample / F.col("n"))
+    few = (known.join(F.broadcast(per), "lang").where(F.pmod(order, F.lit(1_000_000)) < 2_000_000.0 * sample / F.col("n"))
            .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))).where(F.col("rank") <= sample))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("text is not null")
             .join(few.select("doc_id", "lang").distinct(), ["doc_id", "lang"]).select("text", "lang").collect())
