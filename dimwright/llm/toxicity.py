@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimwright.llm.common import Memo, by_size, held_out
+from dimwright.llm.common import Memo, by_size, columns_of, held_out
 
 SAMPLE = 1500       # toxic rows to learn from
 CLEAN = 3000        # clean rows to learn from
@@ -62,9 +63,12 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarray,
     """(logit of class 1 against 0 that each bucket adds, bias)."""
     names: dict[str, int] = {}
     docs = [np.array([names.setdefault(w, len(names)) for w in _WORD.findall(t.lower())], np.int64) for t in texts]
-    bags = [grams(w) for w in names]
-    size = np.array([len(b) for b in bags] or [0])
-    flat = np.array([g for b in bags for g in b], np.int64)
+    bag, size = array("i"), array("i")
+    for w in names:
+        g = grams(w)
+        bag.extend(g)
+        size.append(len(g))
+    flat, size = np.array(bag, np.int32), np.array(size, np.int64)
     begin = np.cumsum(size) - size
     y = np.array(labels)
     # every segment of every document, as ranges in the words laid end to end
@@ -114,6 +118,16 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarray,
     return (z[:, 1] - z[:, 0]).astype(np.float32), float(bias[1] - bias[0])
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts, labels = [], []
+    for t, y in columns_of(batches, "text", "toxic"):
+        texts += [x.decode() for x in t]
+        labels += y
+    if set(labels) == {0, 1}:
+        table, bias = fit(texts, labels)
+        yield pa.record_batch([pa.array([table.tobytes()], pa.binary()), pa.array([bias])], names=["logits", "bias"])
+
+
 def _score(batches: Iterator[pa.RecordBatch], model: tuple[np.ndarray, float] | None) -> Iterator[pa.RecordBatch]:
     if model:
         table, bias = model
@@ -142,8 +156,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     few = (known.join(F.broadcast(per), "toxic").where(F.pmod(order, F.lit(1_000_000)) < 2_000_000.0 * most / F.col("n"))
            .withColumn("rank", F.row_number().over(Window.partitionBy("toxic").orderBy(order, "doc_id"))).where(F.col("rank") <= most))
     rows = (d.join(F.broadcast(few.select("doc_id", "toxic")), "doc_id").where("text is not null")     # at most SAMPLE + CLEAN labels
-            .orderBy("doc_id", "toxic", F.xxhash64("text")).select("text", "toxic").collect())
-    both = len({r.toxic for r in rows}) == 2
-    model = fit([bytes(r.text).decode() for r in rows], [r.toxic for r in rows]) if both else None
+            .select("doc_id", "text", "toxic").repartition(1).sortWithinPartitions("doc_id", "toxic", "text"))
+    got = rows.mapInArrow(_fit, "logits binary, bias double").collect()     # a row of BUCKETS numbers
+    model = (np.frombuffer(got[0].logits, np.float32), got[0].bias) if got else None
     held = docs.sparkSession.sparkContext.broadcast(model)
     return d.mapInArrow(lambda it: _score(it, held.value), "doc_id long, held_out boolean, score double, predicted int")
