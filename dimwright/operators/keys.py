@@ -1,10 +1,8 @@
 """Surrogate keys (P-KEY).
 
-New members get ``base + row_number() over (order by natural key)``. A set
-whose size is checked to be small (the usual case: a handful of new statuses,
-users or products) is numbered by one ordered window. A global window over a
-large set would pull every row into one task, so there the rank is built in
-two passes that stay distributed:
+New members get ``base + row_number() over (order by natural key)``. A global
+window would pull every row into one task, so the rank is built in two passes
+that stay distributed, whatever the size of the set:
 
 1. range-partition on the order columns and sort inside each partition;
    tag rows with their partition id and in-partition position
@@ -48,18 +46,10 @@ def max_key(dim: DataFrame, key_col: str) -> Column:
     return dim.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
 
 
-# New-member sets up to this size are numbered by one ordered window (a single
-# task, bounded by this checked size); larger sets take the two-pass path.
-SMALL_SET_ROWS = 500_000
-
-
 def assign_keys(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
-                base: int | Column = 0, num_partitions: int | None = None,
-                small_rows: int = SMALL_SET_ROWS) -> DataFrame:
+                base: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     base_col = base if isinstance(base, Column) else F.lit(base)
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        return df.withColumn(key_col, (base_col + F.row_number().over(Window.orderBy(*order))).cast("long"))
     # Without an explicit count the range exchange uses the session's shuffle
     # partitions and AQE may coalesce them, so a handful of new members do not
     # produce hundreds of files while a large set still spreads out.

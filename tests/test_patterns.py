@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimwright.operators.keys import assign_keys
@@ -52,14 +53,14 @@ def test_insert_missing_empty_dim_starts_at_one(spark):
 
 def test_assign_keys_equals_global_row_number(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(13)
-    out = assign_keys(df, ["k"], "key", base=100, num_partitions=9, small_rows=0)   # force the two-pass path
+    out = assign_keys(df, ["k"], "key", base=100, num_partitions=9)   # force the two-pass path
     got = rows(out, "k", "key")
     assert got == [(k, 100 + k + 1) for k in range(1000)]
 
 
 def test_assign_keys_plan_has_no_single_partition_exchange(spark):
     df = spark.range(0, 100).select(F.col("id").alias("k"))
-    out = assign_keys(df, ["k"], "key", small_rows=0)
+    out = assign_keys(df, ["k"], "key")
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the only single-partition step is the per-partition offset table inside the broadcast
     b, single = plan.find("BroadcastExchange"), plan.find("SinglePartition")
@@ -75,8 +76,8 @@ def test_supersede_restamps_all_versions(spark):
     assert got == [("A", 1, False, True), ("A", 2, False, True), ("B", 3, True, False)]
 
 
-def test_assign_keys_small_path_matches_two_pass(spark):
+def test_assign_keys_equals_one_ordered_window(spark):
     df = spark.range(0, 500).select((F.col("id") * 31 % 500).cast("string").alias("k"))
-    small = rows(assign_keys(df, ["k"], "key", base=7), "k", "key")
-    big = rows(assign_keys(df, ["k"], "key", base=7, small_rows=0), "k", "key")
+    small = rows(df.withColumn("key", 7 + F.row_number().over(Window.orderBy("k"))), "k", "key")
+    big = rows(assign_keys(df, ["k"], "key", base=7), "k", "key")
     assert small == big
