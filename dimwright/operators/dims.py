@@ -39,11 +39,15 @@ def update_attributes(dim: DataFrame, source: DataFrame, dim_key: str, source_ke
 def insert_missing_names(dim: DataFrame, names: Column, source: DataFrame, name_col: str, key_col: str,
                          null_aware: bool = False, default_null: bool = True) -> DataFrame:
     """Distinct names (``COALESCE(x, 'None')`` when ``default_null``) absent
-    from the dimension. ``null_aware`` gives ``NOT IN`` semantics (D3: a null name
-    is never inserted; a null already in the dimension blocks every insert)."""
+    from the dimension. ``null_aware`` gives ``NOT IN`` semantics (D3: a null
+    already in the dimension blocks every insert; a null name is absent only
+    from an empty dimension, and is then inserted as 'None')."""
     n = F.coalesce(names, F.lit(DEFAULT_MEMBER)) if default_null else names
     cand = source.select(n.alias(name_col)).distinct()
-    return insert_missing(dim, cand, [name_col], key_col, order_by=[name_col], null_aware=null_aware)
+    if null_aware:
+        cand = anti_join(cand, dim, [name_col], null_aware=True).select(
+            F.coalesce(name_col, F.lit(DEFAULT_MEMBER)).alias(name_col)).distinct()
+    return insert_missing(dim, cand, [name_col], key_col, order_by=[name_col])
 
 
 def insert_missing_origins(origin_dim: DataFrame, incidents: DataFrame) -> DataFrame:

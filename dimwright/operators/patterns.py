@@ -91,7 +91,7 @@ def anti_join(candidates: DataFrame, existing: DataFrame, on: Sequence[str], nul
 
     Default: ``LEFT JOIN .. WHERE right IS NULL`` - a null key never matches,
     so it counts as absent. ``null_aware``: ``NOT IN`` - a null candidate is
-    never absent and a single null in ``existing`` makes every row present.
+    absent from an empty set only, and a single null in ``existing`` makes every row present.
     ``null_safe``: null equals null (``<=>``).
     """
     keys = existing.select(*on)
@@ -106,10 +106,9 @@ def anti_join(candidates: DataFrame, existing: DataFrame, on: Sequence[str], nul
     if len(on) != 1:
         raise ValueError("NOT IN semantics are defined for one column")
     k = on[0]
-    blocked = keys.filter(F.col(k).isNull()).exists()
-    return (candidates.filter(F.col(k).isNotNull())
-            .join(keys.filter(F.col(k).isNotNull()), [k], "left_anti")
-            .filter(~blocked))
+    blocked, some = keys.filter(F.col(k).isNull()).exists(), keys.exists()
+    return (candidates.join(keys.filter(F.col(k).isNotNull()), [k], "left_anti")
+            .filter(~blocked & (F.col(k).isNotNull() | ~some)))
 
 
 def insert_missing(dim: DataFrame, candidates: DataFrame, on: Sequence[str], key_col: str | None,
