@@ -904,7 +904,7 @@ QUERIES.update({"status_upsert": status_upsert, "user_members": user_members})
 # ------------------------------------------------------------------ S5
 def landed_users(spark: SparkSession, d: str) -> DataFrame:
     """User-list pages (one per 100 events, users in event order) read back with
-    S5: four columns, the first row per user key (page position, then values)."""
+    S5: four columns, the first row per user key (page, position in it, then values)."""
     ev = _t(spark, d, "events")
     user = F.struct(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("key"),
                     F.concat(F.lit("User "), F.col("user_id").cast("string"), F.lit(" #"),
@@ -914,8 +914,8 @@ def landed_users(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("event_type") != "error").alias("active"))
     pages = (ev.groupBy(F.floor(F.col("event_id") / ISSUES_PER_PAGE).alias("_page"))
              .agg(F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("_o"), user.alias("u")))).alias("_us"))
-             .select(F.to_json(F.transform("_us", lambda x: x["u"])).alias("value")))
-    return landed.read_users(pages)
+             .select("_page", F.to_json(F.transform("_us", lambda x: x["u"])).alias("value")))
+    return landed.read_users(pages.withColumnRenamed("_page", "page"), page="page")
 
 
 QUERIES.update({"landed_users": landed_users})
@@ -939,10 +939,11 @@ def landed_statuses(spark: SparkSession, d: str) -> DataFrame:
     res = F.struct(F.when(F.col("event_type") == "error", F.lit("Closed")).otherwise(F.col("event_type")).alias("name"),
                    (k.cast("long") + 1000).cast("string").alias("id"))
     wf = ev.groupBy(page).agg(_in_event_order(st).alias("_s")).select(
-        F.to_json(F.array(F.struct(F.concat(F.lit("type "), F.col("_page").cast("string")).alias("name"),
+        F.col("_page").alias("page"), F.to_json(F.array(F.struct(F.concat(F.lit("type "), F.col("_page").cast("string")).alias("name"),
                                    F.col("_s").alias("statuses")))).alias("value"))
-    rs = ev.groupBy(page).agg(_in_event_order(res).alias("_s")).select(F.to_json("_s").alias("value"))
-    return landed.union_statuses(landed.read_workflow_statuses(wf), landed.read_resolutions(rs))
+    rs = ev.groupBy(page).agg(_in_event_order(res).alias("_s")).select(
+        F.col("_page").alias("page"), F.to_json("_s").alias("value"))
+    return landed.union_statuses(landed.read_workflow_statuses(wf, page="page"), landed.read_resolutions(rs, page="page"))
 
 
 QUERIES.update({"landed_statuses": landed_statuses})

@@ -48,8 +48,17 @@ BOARDS_T = ("struct<views:array<struct<id:long, name:string, filter:struct<owner
 DEPARTMENT_CSV_T = "displayname string, samaccountname string, department string"
 
 
-def _parse(docs: DataFrame, schema: str, col: str = "value") -> DataFrame:
-    return docs.select(F.from_json(F.col(col), schema).alias("doc"))
+#: a page that does not parse stops the run: a null page would drop its rows unseen
+STRICT = {"mode": "FAILFAST"}
+
+
+def _parse(docs: DataFrame, schema: str, col: str = "value", keep: Sequence[str | Column] = ()) -> DataFrame:
+    return docs.select(*keep, F.from_json(F.col(col), schema, STRICT).alias("doc"))
+
+
+def _page(page: str | None) -> Column:
+    """The landed page's number, for "first row per key"; without one, pages are one list."""
+    return (F.col(page) if page else F.lit(0)).alias("_page")
 
 
 def read_json_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -129,21 +138,21 @@ def flatten_changelog(issues: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S3 / S4 / S4b / S5 / S6 / S7
-def read_workflow_statuses(docs: DataFrame, col: str = "value") -> DataFrame:
+def read_workflow_statuses(docs: DataFrame, col: str = "value", page: str | None = None) -> DataFrame:
     """S3: statuses of every issue type, flag true, first occurrence per id."""
-    it = _parse(docs, WORKFLOW_T, col).select(F.posexplode("doc").alias("p1", "t"))
-    st = it.select("p1", F.posexplode("t.statuses").alias("p2", "s"))
-    st = st.select(F.col("s.name").alias("status"), F.col("s.id").cast("long").alias("id"), "p1", "p2")
-    first = one_per_key(st, ["id"], ["p1", "p2"])
+    it = _parse(docs, WORKFLOW_T, col, [_page(page)]).select("_page", F.posexplode("doc").alias("p1", "t"))
+    st = it.select("_page", "p1", F.posexplode("t.statuses").alias("p2", "s"))
+    st = st.select(F.col("s.name").alias("status"), F.col("s.id").cast("long").alias("id"), "_page", "p1", "p2")
+    first = one_per_key(st, ["id"], ["_page", "p1", "p2"])
     return first.select("status", "id", F.lit(True).alias("flag"))
 
 
-def read_resolutions(docs: DataFrame, col: str = "value") -> DataFrame:
+def read_resolutions(docs: DataFrame, col: str = "value", page: str | None = None) -> DataFrame:
     """Resolutions other than 'Closed', flag false, first occurrence per id."""
-    r = _parse(docs, RESOLUTION_T, col).select(F.posexplode("doc").alias("p", "r"))
+    r = _parse(docs, RESOLUTION_T, col, [_page(page)]).select("_page", F.posexplode("doc").alias("p", "r"))
     r = r.filter(F.col("r.name") != "Closed").select(F.col("r.name").alias("status"),
-                                                       F.col("r.id").cast("long").alias("id"), "p")
-    return one_per_key(r, ["id"], ["p"]).select("status", "id", F.lit(False).alias("flag"))
+                                                       F.col("r.id").cast("long").alias("id"), "_page", "p")
+    return one_per_key(r, ["id"], ["_page", "p"]).select("status", "id", F.lit(False).alias("flag"))
 
 
 def union_statuses(workflow: DataFrame, resolutions: DataFrame) -> DataFrame:
@@ -151,12 +160,12 @@ def union_statuses(workflow: DataFrame, resolutions: DataFrame) -> DataFrame:
     return workflow.unionByName(resolutions)
 
 
-def read_users(docs: DataFrame, col: str = "value") -> DataFrame:
+def read_users(docs: DataFrame, col: str = "value", page: str | None = None) -> DataFrame:
     """Four user columns, the first row per key."""
-    u = _parse(docs, USERS_T, col).select(F.posexplode("doc").alias("p", "u"))
+    u = _parse(docs, USERS_T, col, [_page(page)]).select("_page", F.posexplode("doc").alias("p", "u"))
     u = u.select(F.col("u.key").alias("user_id"), F.col("u.displayName").alias("user_name"),
-                 F.col("u.emailAddress").alias("email_id"), F.col("u.active").alias("active"), "p")
-    return one_per_key(u, ["user_id"], ["p"]).drop("p")
+                 F.col("u.emailAddress").alias("email_id"), F.col("u.active").alias("active"), "_page", "p")
+    return one_per_key(u, ["user_id"], ["_page", "p"]).drop("_page", "p")
 
 
 def read_products(docs: DataFrame, col: str = "value") -> DataFrame:
@@ -180,7 +189,7 @@ def read_sprint_pages(pages: DataFrame, col: str = "value", page_pos: str | None
     """Sprint page values with their position (page order, then position in page);
     ``keep`` columns of the landed rows (such as the board id) are carried along."""
     page = F.col(page_pos) if page_pos else F.lit(0)
-    v = pages.select(*keep, page.alias("_page"), F.from_json(F.col(col), SPRINT_PAGE_T).alias("doc"))
+    v = pages.select(*keep, page.alias("_page"), F.from_json(F.col(col), SPRINT_PAGE_T, STRICT).alias("doc"))
     v = v.select(*keep, "_page", F.posexplode("doc.values").alias("_pos", "s"))
     return v.select(*keep, "_page", "_pos", F.col("s.id").alias("sprint_number"), F.col("s.name").alias("sprint_name"),
                     F.col("s.originBoardId").alias("originBoardId"), F.col("s.startDate").alias("sprint_start_date"),
@@ -221,7 +230,7 @@ def read_epics(docs: DataFrame, after_id: int | str = 0, col: str = "value", kee
     lower bound: a number, or the name of a column of ``docs`` holding each
     page's bound). ``keep`` columns of ``docs`` are carried along."""
     bound = F.col(after_id) if isinstance(after_id, str) else F.lit(after_id)
-    e = docs.select(*keep, bound.alias("_after"), F.explode(F.from_json(F.col(col), EPIC_PAGE_T)["issues"]).alias("e"))
+    e = docs.select(*keep, bound.alias("_after"), F.explode(F.from_json(F.col(col), EPIC_PAGE_T, STRICT)["issues"]).alias("e"))
     out = e.select(*keep, "_after",
                    F.col("e.fields.customfield_10416").alias("epic_name"), F.col("e.id").cast("long").alias("epic_id"),
                    F.col("e.key").alias("epic_key"), F.col("e.fields.customfield_12741").alias("aha_score"),
@@ -243,7 +252,7 @@ def read_boards(docs: DataFrame, col: str = "value") -> DataFrame:
 # ---------------------------------------------------------------- S12-S17
 def read_department_csv(spark: SparkSession, path: str) -> DataFrame:
     """Display name, account name, department; '' is NULL."""
-    return spark.read.schema(DEPARTMENT_CSV_T).csv(path, header=True, nullValue="")
+    return spark.read.schema(DEPARTMENT_CSV_T).csv(path, header=True, nullValue="", mode="FAILFAST")
 
 
 def parse_department_lines(lines: DataFrame, sep: str = "|", col: str = "value") -> DataFrame:

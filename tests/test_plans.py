@@ -1,6 +1,6 @@
 """Physical-plan shape of every registered query (the scale review as a test)."""
 
-import __spark_entry__ as E
+from dimwright.plans.bindings import QUERIES
 
 SF = "/root/testdata/sf0.001"
 NESTED_LOOP_ALLOWED = {"fuzzy_parent"}   # the LIKE match (D12), broadcast in size-checked chunks
@@ -8,7 +8,7 @@ NESTED_LOOP_ALLOWED = {"fuzzy_parent"}   # the LIKE match (D12), broadcast in si
 
 def test_plans_have_no_cartesian_products_or_python(spark):
     offenders = {}
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         bad = [p for p in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
                if p in plan]
