@@ -43,27 +43,29 @@ PAYLOAD = 500_000
 END = 0
 _COUNT = np.array([c for c, _ in SELECTORS] + [0, 0])
 _LIMIT = np.array([1 << b for b in range(64)], U)
+_HOP = np.where(_COUNT, _COUNT, 1)      # an escape takes one id
+_BITS = np.searchsorted(_LIMIT, np.arange(1 << 16, dtype=U), side="right").astype(np.uint8)
 _NULL = -2**63
 
 
 def encode_block(x: np.ndarray) -> np.ndarray:
     """Words of one block of u64 ids."""
     n = len(x)
-    bits = np.searchsorted(_LIMIT, x, side="right")     # a zero takes no bit
-    place = np.arange(n)
-    step = np.zeros(n, np.int64)
-    sel = np.full(n, ESCAPE)
-    most = int(bits.max(initial=0))
-    for s, (count, b) in enumerate(SELECTORS):
-        if b >= most:
-            free = n - place + count        # to the end of the block, and zeros after it
-        else:
-            over = np.where(bits > b, place, n + count)
-            free = np.minimum.accumulate(over[::-1])[::-1] - place
-        new = (step == 0) & (free >= count)
-        step[new], sel[new] = count, s
-    step[step == 0] = 1     # an escape
-    hop, at, starts = step.tolist(), 0, []
+    most = int(x.max(initial=0))
+    bits = np.zeros(n + 60, np.uint8)       # a zero takes no bit, and zeros follow the block
+    bits[:n] = _BITS[x] if most < len(_BITS) else np.searchsorted(_LIMIT, x, side="right")
+    run = {1: bits}         # widest of the next so many ids
+    sel = np.full(n, ESCAPE, np.uint8)
+    for s, (count, b) in zip(range(len(SELECTORS) - 1, -1, -1), SELECTORS[::-1]):
+        half = max(c for c in run if c <= count)
+        part = run[half]
+        while half < count:         # two overlapping stretches make a longer one
+            step = min(half, count - half)
+            part = np.maximum(part[:-step], part[step:])
+            half += step
+        run[count] = part
+        np.copyto(sel, s, where=part[:n] <= b)
+    hop, at, starts = _HOP[sel].tolist(), 0, []
     while at < n:
         starts.append(at)
         at += hop[at]
