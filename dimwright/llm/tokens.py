@@ -9,8 +9,9 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 400_000      # stretches of text in each of the two generations a worker keeps
+MEMO = 900_000      # stretches of text in each of the two generations a worker keeps
 JOIN = 50           # words encoded in one call
+_ENDS = {".", ","}
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 # Latin letters that stay one letter through NFC and lower case
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
@@ -67,35 +68,33 @@ class Encoder:
             return [f"\0{parts[0]}", *(f" {p}" if p[0] == "\0" else p for p in parts[1:])]
         return ("\0" + text.replace("\n", " \0\n \0")).split(" ")
 
-    def _plain(self, key: str) -> str:
-        """What the tokenizer is given for a key."""
-        if key[0] == "\0":
-            return key[1:]
-        if key[:2] == " \0":
-            key = key[1:]
-        return f" {key}" if self.spaced else key
-
     def _is_word(self, text: str) -> bool:
-        return bool(_SPACED.fullmatch(text) if self.spaced else _LATIN.fullmatch(text))
+        return (_SPACED if self.spaced else _LATIN).fullmatch(text) is not None
 
     def _learn(self, keys: set[str]) -> None:
-        whole, split = set(), []
+        lead = " " if self.spaced else ""
+        lower = not self.spaced
+        split = []
         for k in keys:
-            p = self._plain(k)
-            if len(p) > 1 and p[-1] in ".," and p[-2].isascii() and p[-2].isalnum():
-                core, end = p[:-1], p[-1]
+            if k[0] == "\0":
+                core = k[1:]
+            elif k[:2] == " \0":
+                core = lead + k[1:]
             else:
-                core, end = p, ""
-            if not self.spaced and core.isascii():
+                core = lead + k
+            end = ""
+            if core[-1:] in _ENDS and len(core) > 1 and core[-2].isascii() and core[-2].isalnum():
+                core, end = core[:-1], core[-1]
+            if lower and core.isascii():
                 core = core.lower()
             split.append((k, core, end))
-            whole.add(core)
-        whole |= {".", ","}
+        whole = {core for _, core, _ in split} | _ENDS
         words = [w for w in whole if self._is_word(w)]
         texts = list(whole.difference(words))
         got = dict(zip(texts, self._raw(texts))) | dict(zip(words, self._words(words)))
+        memo = self.memo
         for k, core, end in split:
-            self.memo[k] = got[core] + got[end] if end else got[core]
+            memo[k] = got[core] + got[end] if end else got[core]
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.cut(t) for t in texts]
