@@ -69,3 +69,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash, op9_decontamination, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op10_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM d WHERE len(ws) >= 13),
+k AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS w FROM win),
+f AS (SELECT w, min(doc_id) AS m FROM k GROUP BY w),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM k JOIN f USING (w), range(0, 13) AS t(j) WHERE doc_id > m),
+word AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+_SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE["op9_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {_SQL_WORDS} AS ws FROM benchmark),
+bi AS (SELECT item_id, ws, least(10, len(ws)) AS l, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS i FROM b WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, l, array_to_string(list_slice(ws, i, i + l - 1), ' ') AS w FROM bi),
+di AS (SELECT doc_id, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM iw) WHERE len(ws) >= l),
+dw AS (SELECT doc_id, l, i, array_to_string(list_slice(ws, i, i + l - 1), ' ') AS w FROM di),
+hit AS (SELECT doc_id, i, l, item_id FROM dw JOIN iw USING (l, w)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM hit) GROUP BY doc_id),
+names AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS t
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(names.n, 0) AS n_items,
+       sha256(coalesce(t, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
