@@ -9,13 +9,27 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 900_000      # stretches of text in each of the two generations a worker keeps
-JOIN = 50           # words encoded in one call
-_ENDS = {".", ","}
+MEMO = 800_000      # stretches of text in each of the two generations a worker keeps
+PIECES = 400_000    # pieces of stretches that a worker keeps
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 # Latin letters that stay one letter through NFC and lower case
-_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
-_SPACED = re.compile(" " + _LATIN.pattern)
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+_PLAIN = re.compile(f" ?[!-~{_LATIN}]+")
+# The tokenizers' own patterns for what comes before any merge, over the characters of _PLAIN
+_SPACED_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^ 0-9{_LATIN}]+")
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^ 0-9{_LATIN}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable characters by which byte-level vocabularies write the UTF-8 bytes of a character
+    of _PLAIN: a printable Latin-1 byte is itself, the others count up from U+0100 in their order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = sorted(set(range(256)).difference(shown))
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x180)}
+
+
+_LETTERS = _byte_letters()
 
 
 class Encoder:
@@ -26,7 +40,9 @@ class Encoder:
     between two, and between a letter or digit and a full stop or comma. Ids of
     the stretches between are kept and looked up again. ``spaced``: the space
     belongs to what follows (else white space and case are dropped). A key that
-    starts with NUL follows no space.
+    starts with NUL follows no space. A new stretch of ASCII and Latin letters is
+    cut by the tokenizer's pattern and its pieces go to the tokenizer's merges;
+    any other goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -36,28 +52,25 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.spaced = spaced
-        self.edge = np.zeros(max(self.tok.get_vocab().values()) + 1, bool)      # tokens that start (end) a word
-        self.edge[[i for t, i in self.tok.get_vocab().items() if (t[0] == "\u0120" if spaced else t.endswith("</w>"))]] = True
+        self.merge = self.tok.model.tokenize
+        self.pieces: dict[str, bytes] = {}
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters alone, each with its space if spaced: encoded JOIN at a time and cut
-        where the tokenizer marks the start (a space) or the end of a word."""
-        lead = "" if self.spaced else " "
-        out = []
-        for e, n in zip(self.tok.encode_batch_fast([lead.join(words[i:i + JOIN]) for i in range(0, len(words), JOIN)], add_special_tokens=False),
-                        (len(words[i:i + JOIN]) for i in range(0, len(words), JOIN))):
-            raw = array("I", e.ids).tobytes()
-            mark = np.flatnonzero(self.edge[np.frombuffer(raw, np.uint32)])
-            cut = [*(4 * mark).tolist(), len(raw)] if self.spaced else [0, *(4 * mark + 4).tolist()]
-            if len(cut) != n + 1:
-                raise ValueError("the tokenizer splits inside a word of letters")
-            out += [raw[a:b] for a, b in zip(cut, cut[1:])]
-        return out
+    def _piece(self, text: str) -> bytes:
+        """Ids of one piece, by the tokenizer's merges."""
+        if text.isascii():
+            shown = "\u0120" + text[1:] if text[0] == " " else text
+        else:
+            shown = text.translate(_LETTERS)
+        got = array("I", [t.id for t in self.merge(shown)]).tobytes()
+        if len(self.pieces) >= PIECES:
+            self.pieces.clear()
+        self.pieces[text] = got
+        return got
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -68,46 +81,40 @@ class Encoder:
             return [f"\0{parts[0]}", *(f" {p}" if p[0] == "\0" else p for p in parts[1:])]
         return ("\0" + text.replace("\n", " \0\n \0")).split(" ")
 
-    def _is_word(self, text: str) -> bool:
-        return (_SPACED if self.spaced else _LATIN).fullmatch(text) is not None
-
     def _learn(self, keys: set[str]) -> None:
         lead = " " if self.spaced else ""
-        lower = not self.spaced
-        split = []
+        cut = (_SPACED_PIECE if self.spaced else _PIECE).findall
+        known, memo = self.pieces.get, self.memo
+        others = []
         for k in keys:
+            if k.isalpha() and k.isascii():     # one piece
+                p = " " + k if self.spaced else k.lower()
+                memo[k] = known(p) or self._piece(p)
+                continue
             if k[0] == "\0":
                 core = k[1:]
             elif k[:2] == " \0":
                 core = lead + k[1:]
             else:
                 core = lead + k
-            end = ""
-            if core[-1:] in _ENDS and len(core) > 1 and core[-2].isascii() and core[-2].isalnum():
-                core, end = core[:-1], core[-1]
-            if lower and core.isascii():
-                core = core.lower()
-            split.append((k, core, end))
-        whole = {core for _, core, _ in split} | _ENDS
-        words = [w for w in whole if self._is_word(w)]
-        texts = list(whole.difference(words))
-        got = dict(zip(texts, self._raw(texts))) | dict(zip(words, self._words(words)))
-        memo = self.memo
-        for k, core, end in split:
-            memo[k] = got[core] + got[end] if end else got[core]
+            if _PLAIN.fullmatch(core) is None:
+                others.append((k, core))
+                continue
+            parts = cut(core if self.spaced else core.lower())
+            memo[k] = known(parts[0]) or self._piece(parts[0]) if len(parts) == 1 else b"".join([known(p) or self._piece(p) for p in parts])
+        memo.update(zip([k for k, _ in others], self._raw([core for _, core in others])))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.cut(t) for t in texts]
-        new = set().union(*parts) - self.memo.keys()
+        found = [list(map(self.memo.get, p)) for p in parts]
+        new = {w for p, f in zip(parts, found) for w, ids in zip(p, f) if ids is None}
         if len(self.memo) + len(new) > MEMO:
             self.old, self.memo = self.memo, {}
-            new = set().union(*parts)
         known = new & self.old.keys()
         self.memo.update((k, self.old[k]) for k in known)
-        if new := new - known:
-            self._learn(new)
-        get = self.memo.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), np.uint32) for p in parts]
+        self._learn(new - known)
+        memo = self.memo
+        return [np.frombuffer(b"".join([memo[w] if ids is None else ids for w, ids in zip(p, f)]), np.uint32) for p, f in zip(parts, found)]
 
 
 @lru_cache(maxsize=2)
