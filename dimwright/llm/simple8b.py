@@ -39,6 +39,7 @@ from dimwright.operators.keys import materialize
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 14
 BLOCK = 4096
+TOGETHER = 128      # blocks encoded at once
 PAYLOAD = 500_000
 END = 0
 _COUNT = np.array([c for c, _ in SELECTORS] + [0, 0])
@@ -48,43 +49,62 @@ _BITS = np.searchsorted(_LIMIT, np.arange(1 << 16, dtype=U), side="right").astyp
 _NULL = -2**63
 
 
-def encode_block(x: np.ndarray) -> np.ndarray:
-    """Words of one block of u64 ids."""
-    n = len(x)
-    most = int(x.max(initial=0))
-    bits = np.zeros(n + 60, np.uint8)       # a zero takes no bit, and zeros follow the block
-    bits[:n] = _BITS[x] if most < len(_BITS) else np.searchsorted(_LIMIT, x, side="right")
+def encode_blocks(x: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Words of blocks of u64 ids, and where each block's words start (with their number appended)."""
+    n = -(-len(x) // block)
+    ids = np.zeros((n, block + 60), U)      # a zero takes no bit, and zeros follow each block
+    ids[:, :block].flat[:len(x)] = x
+    bits = _BITS[ids] if int(x.max(initial=0)) < len(_BITS) else np.searchsorted(_LIMIT, ids, side="right").astype(np.uint8)
     run = {1: bits}         # widest of the next so many ids
-    sel = np.full(n, ESCAPE, np.uint8)
+    sel = np.full((n, block), ESCAPE, np.uint8)
     for s, (count, b) in zip(range(len(SELECTORS) - 1, -1, -1), SELECTORS[::-1]):
         half = max(c for c in run if c <= count)
         part = run[half]
         while half < count:         # two overlapping stretches make a longer one
             step = min(half, count - half)
-            part = np.maximum(part[:-step], part[step:])
+            part = np.maximum(part[:, :-step], part[:, step:])
             half += step
         run[count] = part
-        np.copyto(sel, s, where=part[:n] <= b)
-    hop, at, starts = _HOP[sel].tolist(), 0, []
-    while at < n:
-        starts.append(at)
-        at += hop[at]
-    starts = np.array(starts, np.int64)
+        fits = part[:, :block] <= b
+        if not fits.any():          # then no longer run of fewer bits fits either
+            break
+        np.copyto(sel, s, where=fits)
+    sel = sel.ravel()
+    # all blocks hop from word to word together
+    begins = np.zeros(n * block, bool)
+    at = np.arange(n) * block
+    end = np.minimum(at + block, len(x))
+    while len(at):
+        begins[at] = True
+        at = at + _HOP[sel[at]]
+        go = at < end
+        at, end = at[go], end[go]
+    starts = np.flatnonzero(begins)
+    of = starts // block
     sel = sel[starts]
     wide = sel == ESCAPE
     slot = np.arange(len(starts)) + np.cumsum(wide) - wide
     out = np.zeros(len(starts) + int(wide.sum()), U)
-    pad = np.concatenate([x, np.zeros(60, U)])
+    flat, place = ids.ravel(), starts + 60 * of
     for s in np.unique(sel).tolist():
-        mine = sel == s
+        mine = np.flatnonzero(sel == s)
+        where, to = place[mine], slot[mine]
         if s == ESCAPE:
-            out[slot[mine]] = U(ESCAPE << 60)
-            out[slot[mine] + 1] = x[starts[mine]]
+            out[to] = U(ESCAPE << 60)
+            out[to + 1] = flat[where]
             continue
         count, b = SELECTORS[s]
-        v = pad[starts[mine][:, None] + np.arange(count)] << (np.arange(count) * b).astype(U)
-        out[slot[mine]] = np.bitwise_or.reduce(v, axis=1) | U(s << 60)
-    return out
+        word = np.full(len(mine), s << 60, U)
+        for i in range(count):
+            word |= flat[where + i] << U(i * b)
+        out[to] = word
+    size = np.bincount(of, minlength=n) + np.bincount(of[wide], minlength=n)
+    return out, np.concatenate([[0], np.cumsum(size)])
+
+
+def encode_block(x: np.ndarray) -> np.ndarray:
+    """Words of one block of u64 ids."""
+    return encode_blocks(x, max(len(x), 1))[0]
 
 
 def decode_words(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
@@ -114,9 +134,10 @@ def decode_words(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
 
 def write_payload(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
     x = np.concatenate(docs).astype(U) if docs else np.zeros(0, U)
-    words = [encode_block(x[i:i + BLOCK]) for i in range(0, len(x), BLOCK)]
-    first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype("<u8")
-    head = struct.pack("<4s5Q", b"S8B1", len(docs), len(x), len(words), int(first[-1]), sum(d is None for d in doc_ids))
+    parts = [encode_blocks(x[i:i + BLOCK * TOGETHER]) for i in range(0, len(x), BLOCK * TOGETHER)]
+    words = [w for w, _ in parts]
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *(np.diff(f) for _, f in parts)]))]).astype("<u8")
+    head = struct.pack("<4s5Q", b"S8B1", len(docs), len(x), len(first) - 1, int(first[-1]), sum(d is None for d in doc_ids))
     ids = np.array([_NULL if d is None else d for d in doc_ids], "<i8")
     return b"".join([head, ids.tobytes(), np.array([len(d) for d in docs], "<u8").tobytes(), first.tobytes(),
                      *(w.astype("<u8").tobytes() for w in words)])

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from dimwright.llm import packing, simple8b
 from dimwright.llm.packing import best_cuts, pack_documents
-from dimwright.llm.simple8b import decode_words, encode_block, read_payload, read_token_files, write_payload, write_token_files
+from dimwright.llm.simple8b import decode_words, encode_block, encode_blocks, read_payload, read_token_files, write_payload, write_token_files
 from dimwright.llm.tokens import Encoder
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -37,6 +37,27 @@ def test_memoised_encoding_equals_the_library():
             assert [x.tolist() for x in Encoder(path, spaced).batch(texts)] == [plain(path, t) for t in texts]
 
 
+def test_pieces_equal_the_library():
+    """Contractions, case, digits, marks and letters around what counts as a plain stretch."""
+    import random
+
+    draw = random.Random(5)
+    parts = ["'s", "'S", "'ll", "'", "''", "it", "It", "\u00c9t\u00e9", "\u0130", "\u0149", "\u017f", "\u00df", "\u00d7", "\u0142", "7", "42", "...", ",", "_", "-", "$$$",
+             "<|endoftext|>", "</w>", "\u0120", "\x01", "\x1c", "e\u0301", "\u4e2d", "\u00a0", " ", " ", "  ", "\n", "\n\n", "\0", "\t"]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(1, 14))) for _ in range(4000)]
+    for path, spaced in ((WORD, False), (BYTE, True)):
+        assert [x.tolist() for x in Encoder(path, spaced).batch(texts)] == [plain(path, t) for t in texts]
+
+
+def test_blocks_together_equal_blocks_alone():
+    rng = np.random.default_rng(2)
+    for n in (1, 4095, 4096, 4097, 30000):
+        x = np.where(rng.random(n) < .01, rng.integers(0, 2**63, n, np.uint64), rng.integers(0, 50257, n, np.uint64))
+        words, first = encode_blocks(x)
+        alone = [encode_block(x[i:i + 4096]) for i in range(0, n, 4096)]
+        assert (words == np.concatenate(alone)).all() and first.tolist() == [0, *np.cumsum([len(a) for a in alone])]
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(1)
     for x in (np.zeros(0), np.zeros(5000), np.full(9000, 50256), rng.integers(0, 50257, 20000), rng.integers(0, 3, 8192),
