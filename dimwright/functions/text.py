@@ -36,10 +36,13 @@ def key_prefix(x: str | Column) -> Column:
 
 
 def option_ids(x: str | Column) -> Column:
-    """Ids out of a rendered option list such as
-    ``[<Option: value='A', id='12'>, <Option: value='B', id='13'>]``.
+    """Ids out of an option list: JSON as landed, ``[{"value":"A","id":"12"}]`` (or
+    one object), or rendered, ``[<Option: value='A', id='12'>, <Option: value='B', id='13'>]``.
 
-    The id is always the last attribute of an option, so anchoring on ``'>``
+    In rendered text the id is always the last attribute of an option, so anchoring on ``'>``
     keeps labels that contain ``id``, ``=`` or quotes from breaking the parse.
     """
-    return F.regexp_extract_all(_c(x), F.lit(r"id='([^']*)'>"), 1)
+    text = _c(x)
+    listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).when(text.startswith("[{"), text)
+    landed = F.transform(F.from_json(listed, "array<struct<id:string>>", {"mode": "FAILFAST"}), lambda o: o["id"])
+    return F.when(listed.isNull(), F.regexp_extract_all(text, F.lit(r"id='([^']*)'>"), 1)).otherwise(landed)

@@ -11,9 +11,7 @@ from dimwright.functions.text import DEFAULT_MEMBER, INACTIVE_USER_MARKER, or_de
 from dimwright.operators.keys import assign_keys, max_key
 from dimwright.operators.patterns import anti_join, insert_missing, one_per_key, update_from
 
-# A product dimension is a short list; above this many rows the LIKE match is
-# run in broadcast chunks of at most this size.
-FUZZY_BROADCAST_ROWS = 50_000
+GRAM = 3   # characters of a piece that child names and LIKE patterns meet by
 
 
 # ---------------------------------------------------------------- D1 / D2
@@ -146,32 +144,54 @@ def upsert_products(product_dim: DataFrame, products: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D12
+def _grams(x: str, n: int) -> Column:
+    """Distinct substrings of length ``n`` of column ``x``, none for a shorter text."""
+    return F.when(F.length(x) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - (n - 1)),
+                                                                 lambda i: F.substring(F.col(x), i, F.lit(n)))))
+
+
 def fuzzy_assign(child: DataFrame, parent: DataFrame, child_key: str, child_name: str, child_fk: str,
-                 parent_key: str, parent_name: str, max_broadcast_rows: int = FUZZY_BROADCAST_ROWS) -> DataFrame:
+                 parent_key: str, parent_name: str) -> DataFrame:
     """``lower(child_name) LIKE '%' || lower(replace(parent_name, ' ', '%')) || '%'``
     for children whose foreign key is null; several matching parents -> the
     smallest key.
 
-    A LIKE condition has no equi key, so the join runs as a broadcast nested
-    loop. The parent side is a short list; its size is checked first, and a
-    larger parent is split into hash chunks of bounded size that are matched
-    one after another and merged (exact, never truncated).
+    A LIKE condition has no equi key, so candidates are found first: a name can
+    only match where it holds every stretch of the pattern between wildcards.
+    Each pattern is looked up by one short substring of its longest stretch, the
+    one that the fewest names hold (a pattern holding a substring that no name
+    has matches nothing and goes); patterns of stretches below ``GRAM`` meet
+    names by a single character, patterns of wildcards alone by the empty text.
+    Candidates are verified with LIKE. Names and patterns are reduced to
+    distinct ones before, so copies cost nothing.
     """
     pat = F.concat(F.lit("%"), F.lower(F.replace(F.col(parent_name), F.lit(" "), F.lit("%"))), F.lit("%"))
-    par = parent.select(F.col(parent_key).alias("_pk"), pat.alias("_pat")).filter(F.col("_pat").isNotNull())
-    todo = child.filter(F.col(child_fk).isNull()).select(F.col(child_key).alias("_ck"),
-                                                       F.lower(F.col(child_name)).alias("_cn"))
-    n_parent = par.count()
-    chunks = max(1, -(-n_parent // max_broadcast_rows))
-    matches = None
-    for i in range(chunks):
-        part = par if chunks == 1 else par.filter(F.pmod(F.xxhash64("_pk"), F.lit(chunks)) == i)
-        m = (todo.join(F.broadcast(part), F.like(F.col("_cn"), F.col("_pat")), "inner")
-             .groupBy("_ck").agg(F.min("_pk").alias("_pk")))
-        matches = m if matches is None else matches.unionByName(m)
-    if chunks > 1:
-        matches = matches.groupBy("_ck").agg(F.min("_pk").alias("_pk"))
-    return update_from(child, matches, [(child_key, "_ck")], {child_fk: F.col("s._pk")},
+    # a backslash escapes a wildcard or itself; before anything else it is dropped
+    pat = F.regexp_replace(pat, r"(\\\\|\\%|\\_)|\\", "$1")
+    patterns = (parent.select(F.col(parent_key).alias("_pk"), pat.alias("_pat")).filter(F.col("_pat").isNotNull())
+                .groupBy("_pat").agg(F.min("_pk").alias("_pk")))
+    pieces = F.split("_pat", r"\\.|[%_]")
+    longest = F.array_max(F.transform(pieces, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    patterns = patterns.withColumn("_piece", longest)
+    names = (child.filter(F.col(child_fk).isNull()).select(F.lower(F.col(child_name)).alias("_cn"))
+             .filter(F.col("_cn").isNotNull()).distinct())
+
+    def keys(x: str, of_pattern: bool) -> Column:
+        one, many = _grams(x, 1), _grams(x, GRAM)
+        empty = F.array(F.lit(""))
+        if of_pattern:
+            return F.coalesce(many, one, empty)
+        return F.concat(empty, F.coalesce(one, F.array().cast("array<string>")), F.coalesce(many, F.array().cast("array<string>")))
+
+    held = names.select("_cn", F.explode(keys("_cn", False)).alias("_g"))
+    often = held.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    asked = patterns.select("_pat", "_pk", F.explode(keys("_piece", True)).alias("_g"))
+    rarest = (asked.join(often, "_g", "left")
+              .groupBy("_pat", "_pk").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_g")).alias("_r"))
+              .filter("_r._n > 0").select("_pat", "_pk", F.col("_r._g").alias("_g")))
+    matches = (held.join(rarest, "_g").filter(F.like(F.col("_cn"), F.col("_pat")))
+               .groupBy("_cn").agg(F.min("_pk").alias("_pk")))
+    return update_from(child, matches, [(F.lower(F.col(f"t.{child_name}")), "_cn")], {child_fk: F.col("s._pk")},
                        where=F.col(f"t.{child_fk}").isNull(), source_unique=True)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimwright.functions.intervals import pending_days
-from dimwright.functions.text import clean_name
+from dimwright.functions.text import clean_name, option_ids
 from dimwright.operators import control, dims, facts, sprints, transitions
 from dimwright.operators.keys import assign_keys
 from dimwright.operators.patterns import insert_missing, update_from
@@ -99,10 +99,11 @@ def close_measures(spark: SparkSession, d: str) -> DataFrame:
 
 
 def open_age(spark: SparkSession, d: str) -> DataFrame:
-    o = _t(spark, d, "orders").filter(F.col("o_orderstatus") == "O")
+    o = _t(spark, d, "orders")
+    # finished orders count as closed on their own day, the others are open
+    closed = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate"))
     return o.select(F.col("o_orderkey").alias("jira_key"), "o_orderdate",
-                    pending_days("o_orderdate", F.lit(None).cast("timestamp_ntz"), AS_OF_ORDERS)
-                    .alias("pending_since_in_days"))
+                    pending_days("o_orderdate", closed, AS_OF_ORDERS).alias("pending_since_in_days"))
 
 
 # ------------------------------------------------------------------ F4 / T14
@@ -653,11 +654,13 @@ def incremental(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ A4
 CHECKS = [
-    control.Check("orders loaded", "select count(*) from dw_orders", 15000),
+    control.Check("orders with an unknown customer",
+                  "select count(*) from dw_orders o left anti join dw_customer c on o.o_custkey = c.c_custkey", 0),
     control.Check("open orders without lines",
                   "select count(*) from dw_orders o left anti join dw_lineitem l on o.o_orderkey = l.l_orderkey "
                   "where o.o_orderstatus = 'O'", 0),
-    control.Check("customers per segment", "select count(*) from dw_customer where c_mktsegment = 'BUILDING'", 300),
+    control.Check("orders beyond their keys", "select count(*) - count(distinct o_orderkey) from dw_orders", 0),
+    control.Check("open orders expected none", "select count(*) from dw_orders where o_orderstatus = 'O'", 0),
     control.Check("no rows", "select c_custkey from dw_customer where c_custkey < 0", 0),
 ]
 
@@ -1014,7 +1017,7 @@ def landed_epics(spark: SparkSession, d: str) -> DataFrame:
              .agg(F.collect_list(epic).alias("_e")).select(F.to_json(F.struct(F.col("_e").alias("issues"))).alias("value")))
     e = landed.read_epics(pages, after_id=EPIC_AFTER_ID)
     return e.select(clean_name("epic_name").alias("epic_name"), "epic_id", "epic_key", "aha_score", "is_closed",
-                    "aha_reference")
+                    "aha_reference", "date_created", "date_updated", "date_resolved")
 
 
 # ------------------------------------------------------------------ S11 / D16 / E3
@@ -1038,3 +1041,28 @@ def board_load(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES.update({"landed_sprint_issues": landed_sprint_issues, "landed_epics": landed_epics,
                 "board_load": board_load})
+
+
+# ------------------------------------------------------------------ S1b / F11 on option objects
+def landed_options(spark: SparkSession, d: str) -> DataFrame:
+    """Search pages (per 100 line items) whose custom fields hold option objects,
+    read with S1 and S1b: channel and request type by value, one row per listed product id."""
+    li = _t(spark, d, "lineitem")
+    key = F.concat(F.lit("LI-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+
+    def option(value: Column, i: Column) -> Column:
+        return F.struct(F.lit("https://tracker.test/option").alias("self"), value.alias("value"), i.cast("string").alias("id"))
+
+    products = F.array(option(F.lit("Support = id's [A]"), F.col("l_partkey")), option(F.lit("B"), F.col("l_suppkey") + 1000000))
+    fields = F.struct(
+        F.when(F.col("l_returnflag") != "N", option(F.col("l_returnflag"), F.lit(1))).alias("customfield_11809"),
+        option(F.col("l_linestatus"), F.lit(2)).alias("customfield_11813"),
+        F.when(F.col("l_linenumber") != 2, products).alias("customfield_13609"))
+    issue = F.struct(key.alias("id"), key.alias("key"), fields.alias("fields"))
+    pages = (li.groupBy(F.floor(F.col("l_orderkey") / ISSUES_PER_PAGE).alias("_page")).agg(F.collect_list(issue).alias("issues"))
+             .select(F.to_json(F.struct("issues")).alias("value")))
+    stage = landed.flatten_issues(landed.read_issue_pages(pages))
+    return stage.select("key", "channel", "request_type", F.explode_outer(option_ids("product_name")).alias("product_id"))
+
+
+QUERIES.update({"landed_options": landed_options})

@@ -72,9 +72,15 @@ def read_issue_pages(pages: DataFrame, col: str = "value") -> DataFrame:
     return _parse(pages, ISSUE_PAGE_T, col).select(F.explode("doc.issues").alias("issue")).select("issue.*")
 
 
+def _option(c: str) -> Column:
+    """The value of a single-choice field landed as an option object; a plain text as it is."""
+    return F.when(F.col(c).startswith("{"), F.get_json_object(c, "$.value")).otherwise(F.col(c))
+
+
 def flatten_issues(issues: DataFrame) -> DataFrame:
     """The 27 stage columns. The assignee key is null-safe; custom fields
-    get their business names."""
+    get their business names, channel and request type the value of their
+    option; ``product_name`` keeps the option list (see ``option_ids``)."""
     f = "fields."
     return issues.select(
         F.col(f + "assignee.key").alias("assignee"), F.col(f + "customfield_12409").alias("jira_case"),
@@ -89,8 +95,8 @@ def flatten_issues(issues: DataFrame) -> DataFrame:
         F.col(f + "issuetype.subtask").cast("string").alias("subtask"), F.col(f + "summary").alias("summary"),
         F.col(f + "updated").alias("updated"), F.to_json(f + "versions").alias("versions"),
         F.col(f + "watches.watchCount").cast("string").alias("watches"),
-        F.col(f + "customfield_11905").alias("reporter_email"), F.col(f + "customfield_11809").alias("channel"),
-        F.col(f + "customfield_13609").alias("product_name"), F.col(f + "customfield_11813").alias("request_type"),
+        F.col(f + "customfield_11905").alias("reporter_email"), _option(f + "customfield_11809").alias("channel"),
+        F.col(f + "customfield_13609").alias("product_name"), _option(f + "customfield_11813").alias("request_type"),
         F.col(f + "assignee.displayName").alias("assignee_name"))
 
 

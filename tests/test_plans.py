@@ -3,17 +3,13 @@
 from dimwright.plans.bindings import QUERIES
 
 SF = "/root/testdata/sf0.001"
-NESTED_LOOP_ALLOWED = {"fuzzy_parent"}   # the LIKE match (D12), broadcast in size-checked chunks
-
 
 def test_plans_have_no_cartesian_products_or_python(spark):
     offenders = {}
     for name, fn in QUERIES.items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
-        bad = [p for p in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
-               if p in plan]
-        if "BroadcastNestedLoopJoin" in plan and name not in NESTED_LOOP_ALLOWED:
-            bad.append("BroadcastNestedLoopJoin")
+        bad = [p for p in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                           "FlatMapGroupsInPandas") if p in plan]
         if bad:
             offenders[name] = bad
     assert offenders == {}

@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from dimwright.operators import control, dims, sprints
+from dimwright.functions.text import option_ids
+from dimwright.operators import control, dims, facts, sprints
 from dimwright.operators.keys import assign_keys
 from dimwright.sources import landed
 from tests.conftest import rows
@@ -56,3 +57,44 @@ def test_a_truncated_page_stops_the_run(spark):
 
 def test_keys_of_an_empty_set(spark):
     assert assign_keys(spark.createDataFrame([], "k string"), ["k"], "key").collect() == []
+
+
+def test_match_codes_equal_the_least_over_matched_contacts(spark):
+    """Every pairing of present, blank, unknown and null ids and emails, with many blank contacts."""
+    texts = ["g1", " g1 ", "zz", "", " ", None]
+    st = [(f"{i}.{j}", g, m) for i, g in enumerate(texts) for j, m in enumerate(["e1", " e1 ", "zz", "", None])]
+    base = [("g1", "e9"), ("g9", "e1")]
+    for contacts in (base, base + [("g5", "")] * 50, base + [("", None)] * 50, base + [(None, "e1"), (" ", " ")]):
+        want = []
+        for k, g, m in st:
+            g_, m_ = (None if x is None else x.strip(" ") for x in (g, m))
+            met = [(c, e) for c, e in contacts if (c is not None and c.strip(" ") == g_) or (e is not None and e.strip(" ") == m_)]
+            codes = []
+            for c, e in met or [(None, None)]:
+                mail = 2 if not m_ else 6 if e is not None and e.strip(" ") == m_ else 4
+                codes.append(1 if c is not None and c.strip(" ") == g_ else mail + bool(g_))
+            want.append((k, min(codes)))
+        s = spark.createDataFrame(st, "key_stage string, crm_contact_stage string, reporter_email_stage string")
+        c = spark.createDataFrame([(i, *x) for i, x in enumerate(contacts)], "contact_dim_id long, contactid string, emailaddress string")
+        assert rows(facts.match_codes(s, c)) == sorted(want)
+
+
+def test_fuzzy_assign_equals_like(spark):
+    names = ["red widget pro", "Red  Widget", "a_b", "a%b", "aXb", "x", "", "widg", None, "back\\slash", "100% wool", "other"]
+    patterns = ["Red Widget", "widget", "w", "a_b", "a%b", " ", "", "x", "zz", "k\\\\s", "% w", None, "__", "dg"]
+    child = spark.createDataFrame([(i, n, None) for i, n in enumerate(names)], "id long, name string, fk long")
+    parent = spark.createDataFrame([(i + 1, p) for i, p in enumerate(patterns)], "pid long, pname string")
+    for kept in (parent, parent.filter("pname not in ('', ' ')"), parent.filter("length(pname) > 2")):
+        got = rows(dims.fuzzy_assign(child, kept, "id", "name", "fk", "pid", "pname"), "id", "fk")
+        pairs = child.crossJoin(kept).filter("lower(name) like concat('%', lower(replace(pname, ' ', '%')), '%')")
+        best = {r.id: r.fk for r in pairs.groupBy("id").agg(F.min("pid").alias("fk")).collect()}
+        assert got == [(i, best.get(i)) for i in range(len(names))]
+
+
+def test_option_objects_and_rendered_options(spark):
+    page = ('{"issues":[{"key":"A-1","fields":{"customfield_11809":{"value":"Mail","id":"3"},"customfield_11813":"Question",'
+            '"customfield_13609":[{"self":"u","value":"id=\'9\'>","id":"10"},{"value":"B","id":"11"}]}},'
+            '{"key":"A-2","fields":{"customfield_13609":"[<O: value=\'A\', id=\'12\'>]"}},{"key":"A-3","fields":{"customfield_13609":[]}}]}')
+    stage = landed.flatten_issues(landed.read_issue_pages(spark.createDataFrame([(page,)], "value string")))
+    got = stage.select("key", "channel", "request_type", option_ids("product_name").alias("ids")).orderBy("key").collect()
+    assert [tuple(r) for r in got] == [("A-1", "Mail", "Question", ["10", "11"]), ("A-2", None, None, ["12"]), ("A-3", None, None, [])]
