@@ -8,9 +8,10 @@ documents link when 100 * |A and B| >= 75 * |A or B| on the full sets.
 2. Inverted lists: a sketch value held by two classes makes a list. The union
    sketch of a linked pair (its K smallest shingles) holds at least
    ``needed(n)`` values of both, exactly when the union has at most K shingles,
-   else with a margin of MARGIN standard deviations (about 1 pair in 10**10
-   falls below it). So a class may leave out its needed(n) - 1 commonest
-   values: lists of boilerplate are left out unless it is most of a document.
+   else with a margin of MARGIN standard deviations. A set of n shingles does
+   not tell its unions, so needed(n) is the least over all from n to n / 0.75.
+   So a class may leave out its needed(n) - 1 commonest values: lists of
+   boilerplate are left out unless it is most of a document.
 3. Classes joined by lists fall into groups. A group is cut into blocks of
    BLOCK classes and every pair of blocks is one unit of work, so no task holds
    a large group and no pair is written down: a unit counts overlaps of
@@ -65,10 +66,10 @@ def shingles(text: bytes | None) -> np.ndarray:
 
 def needed(n: Column) -> Column:
     """Values that a linked pair shares at least in the K smallest of its union, by the size of either set."""
-    union = n * 100 / PERCENT
+    union = n * 100 / PERCENT       # the largest; the smallest is n
     p = PERCENT / 100
-    far = F.floor(p * K - MARGIN * F.sqrt(K * p * (1 - p) * (1 - K / union)))
-    return F.when(union <= K, F.ceil(n * p)).otherwise(far).cast("int")
+    far = F.floor(p * K - MARGIN * F.sqrt(K * p * (1 - p) * F.greatest(F.lit(0.0), 1 - K / union)))
+    return F.least(F.ceil(n * p), far).cast("int")
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +111,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 def _need(n: np.ndarray) -> np.ndarray:
     p, union = PERCENT / 100, n * 100 / PERCENT
     far = np.floor(p * K - MARGIN * np.sqrt(K * p * (1 - p) * np.maximum(0, 1 - K / union)))
-    return np.where(union <= K, np.ceil(n * p), far)
+    return np.minimum(np.ceil(n * p), far)
 
 
 def links(ids: list[int], sets: list[np.ndarray], left: np.ndarray | None) -> list[tuple[int, int]]:

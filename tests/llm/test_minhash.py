@@ -1,6 +1,8 @@
 import re
 
+import numpy as np
 from llm.fixture import SCHEMA, documents
+from pyspark.sql import functions as F
 
 from dimwright.llm import minhash
 from dimwright.llm.minhash import near_duplicates
@@ -50,5 +52,35 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert result(near_duplicates(docs)) == brute(rows)
 
 
+def test_every_union_size(spark):
+    """Pairs of 60 to 100 shingles that just link, subsets included; each pair has its own words, all texts share some."""
+    rows = []
+
+    def pair(a, b, both):       # sets of a and b shingles that share `both`
+        at = len(rows)
+        common = [f"{at}c{i}" for i in range(both + 4)]
+        rows.extend((at + t, " ".join(common + [f"{at}{t}x{i}" for i in range(size - both)])) for t, size in enumerate((a, b)))
+
+    for a in range(60, 101):
+        pair(a, -(-3 * a // 4), -(-3 * a // 4))     # the least subset
+        pair(a, a - a // 12, a - a // 12)
+        pair(a, a, -(-6 * a // 7))                  # equal sizes
+        pair(a, a - 3, -(-3 * (2 * a - 3) // 7))
+        pair(a, a, -(-6 * a // 7) - 1)              # just no link
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(near_duplicates(docs))
+    assert sum(not kept for *_, kept in got) == 41 * 4
+    assert got == brute(rows)
+
+
+def test_needed_is_the_least_over_unions(spark):
+    n = np.arange(1, 400)
+    got = [r[0] for r in spark.range(1, 400).select(minhash.needed(F.col("id"))).collect()]
+    assert got == minhash._need(n).tolist()
+    for size, need in zip(n.tolist(), got):
+        for union in range(size, min(minhash.K, size * 4 // 3) + 1):
+            assert need <= -(-3 * union // 4)
+
+
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
