@@ -8,8 +8,8 @@ smaller id. Writing down every window costs several times the input, so:
    (leftmost on ties). The choice depends on the window's own symbols only, so
    equal windows have equal anchors at equal offsets. Consecutive windows with
    one anchor form a run: about 2 in (L - k + 2) symbols start one. A run is
-   sent as (anchor hash, hash of all its symbols, place), after a task has
-   dropped runs that repeat one of a smaller document in the same task.
+   sent as (anchor hash, 128-bit hash of all its symbols, place), after a task
+   has dropped runs that repeat one of a smaller document in the same task.
 2. *Runs with equal anchors meet.* An anchor seen in one run is done. A run
    equal to one of a smaller document is wholly repeated. What is left are
    distinct runs with an anchor in common: the ends of shared passages, and
@@ -42,7 +42,7 @@ FLUSH = 1_500_000       # runs held by a task before it sends them
 
 _M = 0x9E3779B97F4A7C15
 _INV = pow(_M, -1, 2**64)
-RUN = np.dtype([("key", "<u8"), ("sw", "<u4"), ("uid", "<i8"), ("did", "<i8"), ("lo", "<u4"), ("n", "u1"), ("off", "u1")])
+RUN = np.dtype([("key", "<u8"), ("sw", "<u8"), ("sx", "<u8"), ("uid", "<i8"), ("did", "<i8"), ("lo", "<u4"), ("n", "u1"), ("off", "u1")])
 SPAN = np.dtype([("uid", "<i8"), ("lo", "<u4"), ("hi", "<u4")])
 ASK = np.dtype([("uid", "<i8"), ("key", "<u8"), ("lo", "<u4"), ("n", "u1"), ("off", "u1")])
 ARROW = {"long": pa.int64(), "string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
@@ -106,8 +106,8 @@ def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
 
 
 def find_runs(sym: np.ndarray, ends: np.ndarray, k: int, length: int) -> tuple[np.ndarray, ...]:
-    """(lo, n, off, key, sw) of the runs in documents laid end to end."""
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),) * 2
+    """(lo, n, off, key, sw, sx) of the runs in documents laid end to end; sw and sx are independent hashes of a run."""
+    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),) * 3
     if len(sym) < length:
         return none
     v = (gram_hash(sym, k).astype(U) << U(32)) | np.arange(len(sym) - k + 1, dtype=U)
@@ -133,7 +133,10 @@ def find_runs(sym: np.ndarray, ends: np.ndarray, k: int, length: int) -> tuple[n
     key = mix(span_hash(h, p, p + k))
     off, n = p - lo, hi - lo
     sw = mix(span_hash(h, lo, hi - 1 + length) + off.astype(U) * U(0xD1B54A32D192ED03) + n.astype(U))
-    return lo, n, off, key, sw
+    # symbols scrambled first, so that symbols that sum alike in sw do not in sx
+    other = prefix_hashes(mix(sym.astype(U) + U(0x2545F4914F6CDD1D)))
+    sx = mix(span_hash(other, lo, hi - 1 + length) + off.astype(U) * U(0xD1B54A32D192ED03) + n.astype(U))
+    return lo, n, off, key, sw, sx
 
 
 @dataclass(frozen=True)
@@ -186,10 +189,10 @@ def _home(uid: np.ndarray, n: int) -> np.ndarray:
 
 
 def _repeats(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs ordered by (key, sw, did), and which repeat a run of a smaller document."""
-    r = r[np.lexsort((r["did"], r["sw"], r["key"]))]
+    """Runs ordered by (key, sw, sx, did), and which repeat a run of a smaller document."""
+    r = r[np.lexsort((r["did"], r["sx"], r["sw"], r["key"]))]
     new = np.ones(len(r), bool)
-    new[1:] = (r["key"][1:] != r["key"][:-1]) | (r["sw"][1:] != r["sw"][:-1])
+    new[1:] = (r["key"][1:] != r["key"][:-1]) | (r["sw"][1:] != r["sw"][:-1]) | (r["sx"][1:] != r["sx"][:-1])
     first = r["did"][np.flatnonzero(new)][np.cumsum(new) - 1] if len(r) else r["did"]
     return r, r["did"] > first
 
@@ -231,10 +234,10 @@ def send_runs(batches: Iterator[pa.RecordBatch], spec: Spec, parts: int) -> Iter
         if not rows:
             continue
         ends = np.cumsum([len(s) for *_, s in rows])
-        lo, cnt, off, key, sw = find_runs(np.concatenate([s for *_, s in rows]), ends, spec.gram, spec.length)
+        lo, cnt, off, key, sw, sx = find_runs(np.concatenate([s for *_, s in rows]), ends, spec.gram, spec.length)
         doc = np.searchsorted(ends, lo, side="right")
         r = np.empty(len(lo), RUN)
-        r["key"], r["sw"], r["n"], r["off"] = key, (sw >> U(32)).astype(np.uint32), cnt, off
+        r["key"], r["sw"], r["sx"], r["n"], r["off"] = key, sw, sx, cnt, off
         r["did"] = np.array([d for d, *_ in rows], np.int64)[doc]
         r["uid"] = np.array([u for _, u, _ in rows], np.int64)[doc]
         r["lo"] = lo - np.concatenate([[0], ends[:-1]])[doc]
@@ -312,7 +315,7 @@ def cut_runs(batches: Iterator[pa.RecordBatch], spec: Spec, parts: int) -> Itera
             h = np.empty(len(q), RUN)
             for f in ("key", "uid", "lo", "n", "off"):
                 h[f] = q[f]
-            h["sw"], h["did"] = 0, NULL_ID if d is None else d
+            h["sw"], h["sx"], h["did"] = 0, 0, NULL_ID if d is None else d
             head.append(h)
         if head:
             h = np.concatenate(head)

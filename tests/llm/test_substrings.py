@@ -4,11 +4,14 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.fixture import SCHEMA, documents
 
+from dimwright.llm import substring, suffix
 from dimwright.llm.substring import substring_dedup
 from dimwright.llm.suffix import prefix_hashes, suffix_dedup, suffix_order
+from dimwright.llm.windows import SPAN, send_runs, unpack
 
 BIG = 2**63 - 1
 
@@ -51,6 +54,27 @@ def test_words(spark, seed):
     assert got == [(d, n, r, h) for d, n, r, _, h in want]
 
 
+@pytest.mark.parametrize("op", [suffix, substring])
+def test_many_runs_on_one_anchor(op):
+    """A passage among other words in 300,000 documents: no long stretch beside it repeats."""
+    rng = np.random.default_rng(5)
+    n = 300_000
+    if op is suffix:
+        passage, side, chance = "".join(map(chr, rng.integers(97, 123, 60))), 30, 12
+        other = rng.integers(97, 123, (2, n, side)).astype(np.uint8)
+        texts = [a.tobytes() + passage.encode() + b.tobytes() for a, b in zip(*other)]
+        size = len(passage)
+    else:
+        passage, side, chance, size = " ".join(f"p{i}" for i in range(15)), 8, 3, 15
+        other = rng.integers(0, 10**6, (2, n, side)).tolist()
+        texts = [" ".join([*map(str, a), passage, *map(str, b)]).encode() for a, b in zip(*other)]
+    docs = pa.record_batch([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "uid", "text"])
+    spans = [unpack(p, SPAN) for b in send_runs(iter([docs]), op.spec(), 1)
+             for k, p in zip(b.column("kind").to_pylist(), b.column("payload").to_pylist()) if k == 1]
+    s = np.concatenate(spans)
+    assert len(s) and s["lo"].min() >= side - chance and s["hi"].max() <= side + size + chance
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup(none).collect() == [] and substring_dedup(none).collect() == []
