@@ -34,9 +34,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group stays."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    """Of each group the row of smallest id stays, by the smaller hash among rows that share an id; a null id comes last."""
+    gone = near_duplicates(docs, by_row=True).where("not kept").select(F.col("uid").alias("_uid")).distinct()
+    return docs.withColumn("_uid", _uid()).join(gone, "_uid", "left_anti").select(*docs.columns)
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

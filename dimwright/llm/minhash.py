@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimwright.llm.common import NULL_ID, Memo, U, by_size, columns_of, components, mix, width
-from dimwright.operators.keys import materialize
+from dimwright.operators.keys import assign_keys, materialize
 
 SHINGLE = 5
 K = 96
@@ -73,12 +73,12 @@ def needed(n: Column) -> Column:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in by_size(batches, "text", ["doc_id", "text"], 2_000_000):
+    for ids, uids, texts in by_size(batches, "text", ["doc_id", "uid", "text"], 2_000_000):
         sets = [shingles(t) for t in texts]
         mark = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"\0" * 16 for s in sets]
         c = np.frombuffer(b"".join(mark), "<i8").reshape(-1, 2)
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(c[:, 0]), pa.array(c[:, 1]),
-                               pa.array([s[:K].view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n", "c1", "c2", "sketch"])
+        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(uids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(c[:, 0]), pa.array(c[:, 1]),
+                               pa.array([s[:K].view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "uid", "n", "c1", "c2", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,12 +163,19 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(now, held)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of docs(doc_id, text)."""
+def near_duplicates(docs: DataFrame, by_row: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, uid) per row of docs(doc_id, text); uid is the hash of doc_id and text.
+
+    by_row: every (doc_id, text) is a document of its own, numbered by doc_id
+    (null last) and uid; component_id is the number of the one kept."""
     spark = docs.sparkSession
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sk = materialize(d.mapInArrow(_sketches, "doc_id long, n long, c1 long, c2 long, sketch array<long>"), "sketches")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).withColumn(
+        "uid", F.xxhash64("doc_id", "text"))
+    sk = materialize(d.mapInArrow(_sketches, "doc_id long, uid long, n long, c1 long, c2 long, sketch array<long>"), "sketches")
     sk = sk.withColumn("id", F.coalesce("doc_id", F.lit(NULL_ID)))
+    if by_row:
+        number = assign_keys(sk.select("id", "uid").distinct(), ["id", "uid"], "number").select("uid", F.col("number").alias("id"))
+        sk = sk.drop("id").join(number, "uid")
     classes = sk.where("n > 0").groupBy("c1", "c2")
     reps = classes.agg(F.min("id").alias("id"), F.min_by("sketch", "id").alias("sketch"), F.first("n").alias("n"))
     entries = reps.select("id", "n", F.explode("sketch").alias("value"))
@@ -184,7 +191,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     blocks = (group.join(group.groupBy("component").agg(F.count(F.lit(1)).alias("m")), "component")
               .select(F.col("node").alias("id"), F.col("component").alias("grp"), F.ceil(F.col("m") / BLOCK).alias("nb"))
               .withColumn("b", F.pmod(F.xxhash64("id"), "nb")))
-    texts = d.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text").join(blocks.hint("shuffle_hash"), "id")
+    if by_row:
+        texts = d.select("uid", "text").join(blocks.join(number, "id").hint("shuffle_hash"), "uid")
+    else:
+        texts = d.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text").join(blocks.hint("shuffle_hash"), "id")
     sets = texts.select("id", "grp", "nb", "b", "text").mapInArrow(_sets, "id long, grp long, nb long, b long, set binary")
     units = (sets.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
              .select("grp", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "id", "b", "set")
@@ -197,4 +207,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # one doc_id may carry several texts, and so several classes
     comp = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.nullif(comp, F.lit(NULL_ID)).alias("component_id"),
-                      comp.eqNullSafe(F.col("id")).alias("kept"))
+                      comp.eqNullSafe(F.col("id")).alias("kept"), "uid")

@@ -52,7 +52,7 @@ def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

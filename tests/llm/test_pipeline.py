@@ -35,6 +35,20 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in pieces} == set(b)
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark, tmp_path):
+    def text(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, text("a")), (2, text("a", 41)),                                 # 2 goes
+            (None, text("a", 42)), (None, text("v")), (None, text("v", 41)),    # the copy of 1 goes, and one of the v
+            (7, text("a", 43)), (7, text("u")), (7, text("u")),                 # the copy of 1 goes, both rows of u stay
+            (None, None), (8, ""), (0, "few words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_removal(spark, docs, str(tmp_path)).collect()]
+    v = [r for r in got if r[1] and r[1].startswith("v0")]
+    assert len(v) == 1 and v[0] in rows
+    assert sorted(map(str, got)) == sorted(map(str, [rows[0], rows[6], rows[7], *rows[8:], *v]))
+
+
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     none = spark.createDataFrame([], SCHEMA)
