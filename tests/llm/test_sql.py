@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(ORACLE[name])
     cols = [c[0] for c in res.description]
