@@ -18,8 +18,9 @@ of smallest hash of the id (a documented bound). Every document is read whole.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; a null
 doc_id is held out and predicted; a null lang is not learned from; ties go to
-the language that sorts first; if nothing can be learned all are ``und``; an
-empty table gives an empty result.
+the language that sorts first; if nothing can be learned all are ``und``;
+malformed UTF-8 reads as replacement characters, which are no letters; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -96,30 +97,40 @@ class Profiles:
     def _cell(self, a, b, c):
         return (self.number[a] * self.width + self.number[b]) * self.width + self.number[c]
 
-    def places(self, text: str) -> np.ndarray:
-        """Rows of the table of a text's trigrams; unlearned ones get the row past the end."""
-        if self.dense:
-            c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-            n = np.where(_is_letter()[c], self.number[c], self.number[0])
-            centre = n[1:-1] != self.number[0]
-            return self.index[((n[:-2] * self.width + n[1:-1]) * self.width + n[2:])[centre]]
-        k = trigram_keys(text)
-        i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-        return np.where(self.keys[i] == k, i, len(self.keys))
+    def places(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the table of a text's trigrams, the row past the end for unlearned ones; and the keys of those."""
+        if not self.dense:
+            k = trigram_keys(text)
+            i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+            at = np.where(self.keys[i] == k, i, len(self.keys))
+            return at, k[at == len(self.keys)]
+        c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = _is_letter()[c]
+        n = np.where(letter, self.number[c], self.number[0])
+        centre = np.flatnonzero(n[1:-1] != self.number[0])
+        at = self.index[(n[centre] * self.width + n[centre + 1]) * self.width + n[centre + 2]]
+        new = centre[at == len(self.keys)]
+        w = np.where(letter, c, 0).astype(np.int64)
+        return at, (w[new] << 42) | (w[new + 1] << 21) | w[new + 2]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        at = self.places(text) if text else ()
+        at, new = self.places(text) if text else ((), ())
         if not len(at):
             return "und", 0.0
-        n = np.bincount(at, minlength=len(self.keys) + 1).astype(np.float32)
-        dot = n[:-1] @ self.table
+        n = np.bincount(at, minlength=len(self.keys) + 1)[:-1].astype(np.float64)
+        dot = n.astype(np.float32) @ self.table
         best = int(dot.argmax())
-        return self.langs[best], float(np.clip(dot[best] / np.sqrt(DIM * float(n @ n)), 0, 1))
+        other = np.unique(new, return_counts=True)[1].astype(np.float64)      # each unlearned trigram is a vector of its own
+        return self.langs[best], float(np.clip(dot[best] / np.sqrt(DIM * (n @ n + other @ other)), 0, 1))
+
+
+def _text(raw: bytes | None) -> str | None:
+    return None if raw is None else raw.decode("utf-8", "replace")
 
 
 def _predict(batches: Iterator[pa.RecordBatch], profiles: Profiles | None) -> Iterator[pa.RecordBatch]:
     for ids, held, texts in by_size(batches, "text", ["doc_id", "held_out", "text"], 2_000_000):
-        got = [profiles.predict(t.decode() if t else t) if profiles else ("und", 0.0) for t in texts]
+        got = [profiles.predict(_text(t)) if profiles else ("und", 0.0) for t in texts]
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array([x for x, _ in got]), pa.array([s for _, s in got], pa.float64())],
                               names=["doc_id", "held_out", "lang_pred", "score"])
 
@@ -131,10 +142,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Profiles | None:
     order = F.xxhash64("doc_id")
     few = (known.join(F.broadcast(per), "lang").where(F.pmod(order, F.lit(1_000_000)) < 2_000_000.0 * sample / F.col("n"))
            .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))).where(F.col("rank") <= sample))
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("text is not null")
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), "lang").where("text is not null")
             .join(few.select("doc_id", "lang").distinct(), ["doc_id", "lang"]).select("text", "lang").collect())
-    rows = [r for r in rows if len(trigram_keys(r.text))]
-    return Profiles([r.text for r in rows], [r.lang for r in rows]) if rows else None
+    rows = [(t, r.lang) for r in rows if len(trigram_keys(t := _text(bytes(r.text))))]
+    return Profiles([t for t, _ in rows], [x for _, x in rows]) if rows else None
 
 
 def language(text: Column, profiles: Profiles | None) -> Column:
@@ -144,8 +155,8 @@ def language(text: Column, profiles: Profiles | None) -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         p = held.value
-        return pd.DataFrame([p.predict(t) if p else ("und", 0.0) for t in texts], columns=["lang_pred", "score"])
-    return predict(text)
+        return pd.DataFrame([p.predict(_text(t)) if p else ("und", 0.0) for t in texts], columns=["lang_pred", "score"])
+    return predict(text.cast("binary"))
 
 
 def identify(docs: DataFrame, profiles: Profiles | None) -> DataFrame:

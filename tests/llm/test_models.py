@@ -4,11 +4,12 @@ import zlib
 
 import numpy as np
 from llm.fixture import SCHEMA, documents
+from pyspark.sql import functions as F
 
 from dimwright.llm import embeddings
 from dimwright.llm.common import table
 from dimwright.llm.embeddings import near_vectors
-from dimwright.llm.langid import Profiles, identify, learn, trigram_keys
+from dimwright.llm.langid import DIM, Profiles, identify, learn, letter_vector, trigram_keys
 from dimwright.llm.toxicity import segment_means, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -60,6 +61,37 @@ def test_language_edges(spark):
     assert identify(none, learn(none)).collect() == []
 
 
+def bundle(text):
+    """The sum of a text's trigram vectors, built letter by letter."""
+    v = np.zeros(DIM)
+    for k in trigram_keys(text).tolist():
+        v += np.roll(letter_vector(k >> 42), 2) * np.roll(letter_vector(k >> 21 & 0x1FFFFF), 1) * letter_vector(k & 0x1FFFFF)
+    return v
+
+
+def test_language_score_is_the_cosine_of_built_vectors():
+    """Learned, half unlearned and mixed texts, with a table of few letters and one of many."""
+    rng = np.random.default_rng(5)
+    en = "the quick brown fox jumps over the lazy dog and runs to the river with all of its friends " * 3
+    fr = "le renard brun saute par dessus le chien et court vers la rivière avec tous ses amis de la forêt " * 3
+    noise = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 900))
+    many = "".join(chr(0x4e00 + i) for i in range(200))
+    for texts, langs in (([en, fr], ["en", "fr"]), ([en, fr, many], ["en", "fr", "zh"])):
+        p = Profiles(texts, langs)
+        proto = {x: bundle(t) / np.linalg.norm(bundle(t)) for x, t in zip(langs, texts)}
+        for text in (en, en + noise, en[:200] + noise, fr + " Ж" * 50, en + " κόσμος" * 40, "the the the", noise):
+            v = bundle(text)
+            want = {x: v @ q / np.linalg.norm(v) for x, q in proto.items()}
+            got, score = p.predict(text)
+            assert abs(score - max(0, want[got])) < 0.05 and want[got] >= max(want.values()) - 0.03
+    assert p.predict(en + noise)[1] > 0.5
+
+
+def test_language_of_malformed_text(spark):
+    docs = documents(spark).withColumn("text", F.when(F.col("doc_id") == 1, F.expr("cast(x'ff4100e9' as string)")).otherwise(F.col("text")))
+    assert identify(docs, learn(docs)).count() == docs.count()
+
+
 def vectors(spark, seed, n=260):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(12, 8))

@@ -1,5 +1,6 @@
 """The pipeline's decisions against brute force, stage by stage."""
 
+import random
 import re
 
 import corpus_pipeline
@@ -55,3 +56,14 @@ def test_empty(spark, tmp_path):
     for _, f in corpus_pipeline.STAGES:
         out = f(spark, none, str(tmp_path))
         assert out.collect() == []
+
+
+def test_language_stage_keeps_a_text_that_is_half_unlearned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(400)
+    some = docs.where("lang = 'en' and length(text) > 600").first()
+    rng = random.Random(4)
+    noise = "".join(rng.choice("bcdfghjklmnpqrstvwxyz") for _ in range(1500))
+    probes = [(10**9, some.text[:300] + " " + noise), (10**9 + 1, some.text[:300] + " κόσμος и мир" * 60), (10**9 + 2, "12 34 !!")]
+    more = spark.createDataFrame([(d, t, None, "s", len(t)) for d, t in probes], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(more), "").select("doc_id").collect()}
+    assert {10**9, 10**9 + 1} <= kept and 10**9 + 2 not in kept
