@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from dimwright.operators.keys import assign_keys
 from dimwright.operators.patterns import one_per_key
+from dimwright.sources.pages import Listing
 
 # ---------------------------------------------------------------- schemas
 ITEM_T = "struct<field:string, `from`:string, `to`:string, fromString:string, toString:string>"
@@ -48,28 +49,43 @@ BOARDS_T = ("struct<views:array<struct<id:long, name:string, filter:struct<owner
 DEPARTMENT_CSV_T = "displayname string, samaccountname string, department string"
 
 
-#: a page that does not parse stops the run: a null page would drop its rows unseen
-STRICT = {"mode": "FAILFAST"}
+# ---------------------------------------------------------------- kinds of pages
+ISSUES = Listing("issues", ISSUE_PAGE_T, "issues")
+RAW_ISSUES = Listing("sprint issues", RAW_ISSUE_PAGE_T, "issues")
+SPRINTS = Listing("sprints", SPRINT_PAGE_T, "values")
+WORKFLOW = Listing("workflow", WORKFLOW_T)
+RESOLUTIONS = Listing("resolutions", RESOLUTION_T)
+USERS = Listing("users", USERS_T)
+PRODUCTS = Listing("products", PRODUCTS_T, "projects")
+PROJECTS = Listing("projects", PROJECTS_T)
+EPICS = Listing("epics", EPIC_PAGE_T, "issues")
+BOARDS = Listing("boards", BOARDS_T, "views")
 
 
-def _parse(docs: DataFrame, schema: str, col: str = "value", keep: Sequence[str | Column] = ()) -> DataFrame:
-    return docs.select(*keep, F.from_json(F.col(col), schema, STRICT).alias("doc"))
+def _parse(docs: DataFrame, listing: Listing, col: str = "value", keep: Sequence[str | Column] = ()) -> DataFrame:
+    """Documents of pages; one that cannot be read ends the run (see :mod:`dimwright.sources.pages`)."""
+    return docs.select(*keep, listing.read(F.col(col)).alias("doc"))
 
 
-def _page(page: str | None) -> Column:
-    """The landed page's number, for "first row per key"; without one, pages are one list."""
-    return (F.col(page) if page else F.lit(0)).alias("_page")
+def _page(docs: DataFrame, page: str | None) -> Column:
+    """The landed page's place, for "first row per key": the column named, else
+    ``page`` where the pages carry one; without one they are a single list."""
+    name = page or ("page" if "page" in docs.columns else None)
+    return (F.col(name) if name else F.lit(0)).alias("_page")
 
 
 def read_json_docs(spark: SparkSession, path: str) -> DataFrame:
-    """Landed documents, one per line, as a ``value`` string column."""
-    return spark.read.text(path)
+    """Landed documents, one per line, as a ``value`` string column, with their
+    place ``page``: file name, block of the file, line in it. Pages are landed
+    in files whose names sort in request order."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", at.alias("page"))
 
 
 # ---------------------------------------------------------------- S1 / S1b / S9
 def read_issue_pages(pages: DataFrame, col: str = "value") -> DataFrame:
     """Issues of every landed search page (pages of 100, concatenated)."""
-    return _parse(pages, ISSUE_PAGE_T, col).select(F.explode("doc.issues").alias("issue")).select("issue.*")
+    return _parse(pages, ISSUES, col).select(F.explode("doc.issues").alias("issue")).select("issue.*")
 
 
 def _option(c: str) -> Column:
@@ -103,7 +119,7 @@ def flatten_issues(issues: DataFrame) -> DataFrame:
 def read_sprint_issue_pages(pages: DataFrame, col: str = "value") -> DataFrame:
     """Issues of sprint-issue pages, each issue kept whole as its JSON text
     (every field, not only those of a schema)."""
-    iss = _parse(pages, RAW_ISSUE_PAGE_T, col).select(F.explode("doc.issues").alias("i"))
+    iss = _parse(pages, RAW_ISSUES, col).select(F.explode("doc.issues").alias("i"))
     return iss.select(F.get_json_object("i", "$.id").alias("jira_ticket_id"),
                       F.get_json_object("i", "$.key").alias("jira_ticket_key"), F.col("i").alias("ticket_details"))
 
@@ -146,7 +162,7 @@ def flatten_changelog(issues: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- S3 / S4 / S4b / S5 / S6 / S7
 def read_workflow_statuses(docs: DataFrame, col: str = "value", page: str | None = None) -> DataFrame:
     """S3: statuses of every issue type, flag true, first occurrence per id."""
-    it = _parse(docs, WORKFLOW_T, col, [_page(page)]).select("_page", F.posexplode("doc").alias("p1", "t"))
+    it = _parse(docs, WORKFLOW, col, [_page(docs, page)]).select("_page", F.posexplode("doc").alias("p1", "t"))
     st = it.select("_page", "p1", F.posexplode("t.statuses").alias("p2", "s"))
     st = st.select(F.col("s.name").alias("status"), F.col("s.id").cast("long").alias("id"), "_page", "p1", "p2")
     first = one_per_key(st, ["id"], ["_page", "p1", "p2"])
@@ -155,7 +171,7 @@ def read_workflow_statuses(docs: DataFrame, col: str = "value", page: str | None
 
 def read_resolutions(docs: DataFrame, col: str = "value", page: str | None = None) -> DataFrame:
     """Resolutions other than 'Closed', flag false, first occurrence per id."""
-    r = _parse(docs, RESOLUTION_T, col, [_page(page)]).select("_page", F.posexplode("doc").alias("p", "r"))
+    r = _parse(docs, RESOLUTIONS, col, [_page(docs, page)]).select("_page", F.posexplode("doc").alias("p", "r"))
     r = r.filter(F.col("r.name") != "Closed").select(F.col("r.name").alias("status"),
                                                        F.col("r.id").cast("long").alias("id"), "_page", "p")
     return one_per_key(r, ["id"], ["_page", "p"]).select("status", "id", F.lit(False).alias("flag"))
@@ -168,7 +184,7 @@ def union_statuses(workflow: DataFrame, resolutions: DataFrame) -> DataFrame:
 
 def read_users(docs: DataFrame, col: str = "value", page: str | None = None) -> DataFrame:
     """Four user columns, the first row per key."""
-    u = _parse(docs, USERS_T, col, [_page(page)]).select("_page", F.posexplode("doc").alias("p", "u"))
+    u = _parse(docs, USERS, col, [_page(docs, page)]).select("_page", F.posexplode("doc").alias("p", "u"))
     u = u.select(F.col("u.key").alias("user_id"), F.col("u.displayName").alias("user_name"),
                  F.col("u.emailAddress").alias("email_id"), F.col("u.active").alias("active"), "_page", "p")
     return one_per_key(u, ["user_id"], ["_page", "p"]).drop("_page", "p")
@@ -176,7 +192,7 @@ def read_users(docs: DataFrame, col: str = "value", page: str | None = None) ->
 
 def read_products(docs: DataFrame, col: str = "value") -> DataFrame:
     """Allowed product values of issue types that have the product field; distinct."""
-    p = _parse(docs, PRODUCTS_T, col).select(F.explode("doc.projects").alias("pr"))
+    p = _parse(docs, PRODUCTS, col).select(F.explode("doc.projects").alias("pr"))
     t = p.select(F.explode("pr.issuetypes").alias("it")).filter(F.col("it.fields.customfield_13609").isNotNull())
     v = t.select(F.explode("it.fields.customfield_13609.allowedValues").alias("v"))
     return v.select(F.col("v.value").alias("product_name"), F.col("v.id").alias("api_id")).distinct()
@@ -184,7 +200,7 @@ def read_products(docs: DataFrame, col: str = "value") -> DataFrame:
 
 def read_projects(docs: DataFrame, col: str = "value") -> DataFrame:
     """Id (as int), key, name; distinct."""
-    p = _parse(docs, PROJECTS_T, col).select(F.explode("doc").alias("p"))
+    p = _parse(docs, PROJECTS, col).select(F.explode("doc").alias("p"))
     return p.select(F.col("p.id").cast("long").alias("project_id"), F.col("p.key").alias("project_key"),
                     F.col("p.name").alias("project_name")).distinct()
 
@@ -195,7 +211,7 @@ def read_sprint_pages(pages: DataFrame, col: str = "value", page_pos: str | None
     """Sprint page values with their position (page order, then position in page);
     ``keep`` columns of the landed rows (such as the board id) are carried along."""
     page = F.col(page_pos) if page_pos else F.lit(0)
-    v = pages.select(*keep, page.alias("_page"), F.from_json(F.col(col), SPRINT_PAGE_T, STRICT).alias("doc"))
+    v = pages.select(*keep, page.alias("_page"), SPRINTS.read(F.col(col)).alias("doc"))
     v = v.select(*keep, "_page", F.posexplode("doc.values").alias("_pos", "s"))
     return v.select(*keep, "_page", "_pos", F.col("s.id").alias("sprint_number"), F.col("s.name").alias("sprint_name"),
                     F.col("s.originBoardId").alias("originBoardId"), F.col("s.startDate").alias("sprint_start_date"),
@@ -236,7 +252,7 @@ def read_epics(docs: DataFrame, after_id: int | str = 0, col: str = "value", kee
     lower bound: a number, or the name of a column of ``docs`` holding each
     page's bound). ``keep`` columns of ``docs`` are carried along."""
     bound = F.col(after_id) if isinstance(after_id, str) else F.lit(after_id)
-    e = docs.select(*keep, bound.alias("_after"), F.explode(F.from_json(F.col(col), EPIC_PAGE_T, STRICT)["issues"]).alias("e"))
+    e = docs.select(*keep, bound.alias("_after"), F.explode(EPICS.read(F.col(col))["issues"]).alias("e"))
     out = e.select(*keep, "_after",
                    F.col("e.fields.customfield_10416").alias("epic_name"), F.col("e.id").cast("long").alias("epic_id"),
                    F.col("e.key").alias("epic_key"), F.col("e.fields.customfield_12741").alias("aha_score"),
@@ -249,7 +265,7 @@ def read_epics(docs: DataFrame, after_id: int | str = 0, col: str = "value", kee
 
 def read_boards(docs: DataFrame, col: str = "value") -> DataFrame:
     """Board id, name, owner id and owner name."""
-    b = _parse(docs, BOARDS_T, col).select(F.explode("doc.views").alias("v"))
+    b = _parse(docs, BOARDS, col).select(F.explode("doc.views").alias("v"))
     return b.select(F.col("v.id").alias("rapidview_id"), F.col("v.name").alias("rapidview_name"),
                     F.col("v.filter.owner.userName").alias("owner_id"),
                     F.col("v.filter.owner.displayName").alias("owner_name"))
