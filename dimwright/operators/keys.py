@@ -21,9 +21,11 @@ ties are numbered arbitrarily - as in the SQL this reproduces.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimwright.session import ensure_checkpoint_dir
@@ -31,11 +33,32 @@ from dimwright.session import ensure_checkpoint_dir
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | record number
 
 
+_folder: ContextVar[str | None] = ContextVar("scratch_folder", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """Tables that :func:`materialize` writes inside are removed at the end.
+
+    For jobs that publish their results: nothing that reads such a table may be
+    used after the block.
+    """
+    from dimwright.sources.publish import Files
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    token = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(token)
+        Files(spark, path).delete(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once under the checkpoint folder and read it back: the
     lineage ends there, and every later use sees the same rows."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
+    root = _folder.get() or ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

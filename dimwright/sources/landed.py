@@ -74,12 +74,28 @@ def _page(docs: DataFrame, page: str | None) -> Column:
     return (F.col(name) if name else F.lit(0)).alias("_page")
 
 
-def read_json_docs(spark: SparkSession, path: str) -> DataFrame:
-    """Landed documents, one per line, as a ``value`` string column, with their
-    place ``page``: file name, block of the file, line in it. Pages are landed
-    in files whose names sort in request order."""
+def landed_since(docs: DataFrame, watermark: DataFrame, day: str = "day") -> DataFrame:
+    """A3 on landed pages: those of day folders from the watermark's day on; all of them before the first run.
+
+    A row changed on or after that day was landed no earlier, so no page that
+    :func:`dimwright.operators.control.incremental` would take rows from is left
+    out. ``day`` is a partition column and the watermark a scalar subquery:
+    older folders are not opened.
+    """
+    since = watermark.select(F.to_date("watermark")).scalar()
+    return docs.filter(since.isNull() | (F.col(day) >= since))
+
+
+def read_json_docs(spark: SparkSession, path: str, watermark: DataFrame | None = None) -> DataFrame:
+    """Landed documents, one per line, as a ``value`` string column, with the
+    columns of their folders and their place ``page``: file name, block of the
+    file, line in it. Pages are landed in files whose names sort in request
+    order. ``watermark`` leaves out folders of earlier days (:func:`landed_since`)."""
+    docs = spark.read.text(path)
+    if watermark is not None:       # before the line numbers, which no filter passes
+        docs = landed_since(docs, watermark)
     at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    return spark.read.text(path).select("value", at.alias("page"))
+    return docs.select("*", at.alias("page"))
 
 
 # ---------------------------------------------------------------- S1 / S1b / S9
