@@ -4,8 +4,11 @@ The batch jobs pull "everything created or updated since the last successful
 run" (A2/A3). When pages are landed as files, a file-source stream gives the
 same incremental contract without a watermark query: the stream's commit log
 records which files were processed, each micro-batch sees only new files,
-and a failed batch is retried from its checkpoint. Each micro-batch is handed
-to an ordinary batch function (``foreachBatch``), so the load itself stays
+and a failed batch is retried from its checkpoint. A retry needs a sink that
+takes one: :func:`ticket_run_batches` publishes each batch as a run of a
+:class:`~dimwright.sources.publish.Store`, where what a failed try has written
+is not seen, and a batch that was published but not yet marked as done by the
+stream is left as it is. Each micro-batch is handed to an ordinary batch function (``foreachBatch``), so the load itself stays
 the DataFrame job of :mod:`dimwright.plans.jobs`; no streaming state is kept.
 """
 
@@ -16,7 +19,9 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from dimwright.operators import control
 from dimwright.plans import jobs
+from dimwright.sources.publish import Store
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -59,3 +64,18 @@ def ticket_batches(load_warehouse: Callable[[], Mapping[str, DataFrame]],
         publish(jobs.ticket_load(load_warehouse(), pages, as_of(), batch_id), batch_id)
 
     return process
+
+
+def ticket_run_batches(store: Store, reference_pages: Callable[[], Mapping[str, DataFrame]],
+                       lookups: Callable[[], Mapping[str, DataFrame]], as_of: Callable[[], str], first_run: int = 1,
+                       log_folder: str | None = None) -> BatchFn:
+    """A ``foreachBatch`` function that runs and publishes E1 for each batch of
+    landed issue pages, as run ``first_run`` + batch id. A batch may hold a part
+    of a search only, so pages are not held against their totals."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        run_id = first_run + batch_id
+        log = control.RunLog(store.spark, log_folder, "servicedesk", run_id) if log_folder else None
+        jobs.ticket_run(store, {**reference_pages(), "issues": batch}, lookups(), as_of(), run_id, log, listing=None)
+
+    return process

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from dimwright.plans.bindings import QUERIES
+from dimwright.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "

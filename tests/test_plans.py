@@ -1,6 +1,6 @@
 """Physical-plan shape of every registered query (the scale review as a test)."""
 
-from dimwright.plans.bindings import QUERIES
+from dimwright.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
