@@ -14,7 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.operators import control, facts, sprints
+from dimwright.operators import control, dims, facts, sprints, transitions
 from dimwright.plans import jobs
 from dimwright.plans.bindings import _empty, _t, _ts
 from dimwright.session import ensure_checkpoint_dir
@@ -279,8 +279,128 @@ def sprint_load(spark: SparkSession, d: str) -> DataFrame:
     return (summary.select(*keys, "sprint_serial_id", "is_issues_loaded").join(sprints.sprint_measures(summary), keys).join(again, keys, "left").join(held, keys, "left"))
 
 
+# ------------------------------------------------------------------ S1b: all 27 columns
+def issue_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Search pages of line items whose issues hold every field of the stage, some of them null, read with S1 and S1b."""
+    li = _t(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus")).alias("x")).select("l_orderkey", "l_linenumber", "x.*")
+    key = F.concat(F.lit("LI-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    supplier, part_ = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
+    returned, done = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
+    person = lambda kind, i: F.struct(F.concat(F.lit(kind), i).alias("key"), F.concat(F.lit(f"{kind.title()} "), i).alias("displayName"))
+    named = lambda n: F.array(F.struct(n.alias("name")))
+    option = lambda v: F.struct(F.lit("x").alias("self"), v.alias("value"))
+    fields = F.struct(
+        F.when(~returned, person("agent", supplier)).alias("assignee"), person("maker", part_).alias("creator"), F.when(done, person("caller", part_)).alias("reporter"),
+        _iso("l_shipdate", "-0500").alias("created"), _iso("l_shipdate", "-0500").alias("updated"), F.when(done, _iso("l_shipdate", "-0500")).alias("resolutiondate"),
+        F.when(returned, named(part_)).alias("components"), F.concat(F.lit("line\n"), F.col("l_returnflag")).alias("description"), F.concat(F.lit('"q" '), part_).alias("summary"),
+        named(F.col("l_returnflag")).alias("fixVersions"), named(F.col("l_linestatus")).alias("versions"),
+        F.struct(F.when(returned, "Return").otherwise("Line").alias("name"), returned.alias("subtask")).alias("issuetype"),
+        F.when(~returned, F.struct(F.col("l_linestatus").alias("name"))).alias("priority"), F.when(done, F.struct(F.lit("Done").alias("name"))).alias("resolution"),
+        F.struct(F.col("l_linestatus").alias("name"), F.lit("as shipped").alias("description")).alias("status"),
+        F.struct(F.col("l_linenumber").alias("watchCount")).alias("watches"), F.concat(F.lit("C-"), part_).alias("customfield_12409"),
+        F.when(~done, supplier).alias("customfield_12410"), F.concat(F.lit(" "), supplier).alias("customfield_12411"), F.concat(supplier, F.lit("@x.test")).alias("customfield_11905"),
+        option(F.col("l_returnflag")).alias("customfield_11809"), F.when(returned, F.array(option(part_))).alias("customfield_13609"), F.lit("Plain").alias("customfield_11813"))
+    issue = F.struct(key.alias("id"), key.alias("key"), fields.alias("fields"))
+    docs = (li.groupBy(F.floor(F.col("l_orderkey") / PER_PAGE).alias("_p")).agg(_in_order(issue, "l_orderkey", "l_linenumber").alias("issues"))
+            .select(F.to_json(F.struct("issues")).alias("value")))
+    return landed.flatten_issues(landed.read_issue_pages(docs))
+
+
+# ------------------------------------------------------------------ F2: all nine lookups
+def star_lookup_nine(spark: SparkSession, d: str) -> DataFrame:
+    """Orders against nine dimensions, two of them the same one in two roles: null,
+    padded and unknown names, dimensions with repeated names, a carried column."""
+    o = _t(spark, d, "orders")
+    c = _t(spark, d, "customer")
+    k = F.col("o_custkey")
+    stage = o.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey", "c_name"), "o_custkey").select(
+        F.col("o_orderkey").alias("key"), F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("account"), F.when(k % 3 != 0, F.col("c_mktsegment")).alias("channel"),
+        F.when(k % 4 != 0, F.col("c_name")).alias("contact"), F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("P")).when(F.col("o_orderkey") % 3 == 0, F.lit("F")).alias("resolution"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).otherwise(F.lit("unheard of")).alias("priority"), "o_orderdate",
+        F.concat(F.lit("type "), (F.col("o_orderkey") % 11).cast("string")).alias("kind"), F.col("c_nationkey").cast("string").alias("who"))
+    member = lambda df, name, i, label: df.select(F.col(i).cast("long").alias(f"{label}_id"), F.col(name).alias(label))
+    numbered = lambda df, c_, label: member(df.select(c_).distinct().withColumn("_i", F.crc32(F.col(c_).cast("binary"))), c_, "_i", label)
+    none = lambda label: spark.createDataFrame([(0, "None")], f"{label}_id long, {label} string")
+    account = member(c, "c_name", "c_custkey", "account").filter(F.col("account_id") % 7 != 0)
+    channel = numbered(c, "c_mktsegment", "channel").unionByName(none("channel"))
+    contact = member(c.withColumn("_i", F.col("c_custkey") + 5), "c_name", "_i", "contact").unionByName(member(c.withColumn("_i", F.col("c_custkey") + 3), "c_name", "_i", "contact"))
+    status = numbered(o, "o_orderstatus", "status").unionByName(none("status"))
+    priority = numbered(o, "o_orderpriority", "priority")
+    kinds = numbered(stage, "kind", "kind").filter(F.col("kind") != "type 3")
+    n = _t(spark, d, "nation")
+    people = n.select((F.col("n_nationkey") + 50).cast("long").alias("who_id"), F.concat(F.col("n_nationkey").cast("string"), F.lit("  ")).alias("who"), F.col("n_regionkey").cast("long").alias("department_dim_id"))
+    out = facts.star_lookup(stage, [
+        facts.Lookup(account, "account", "account", "account_id", "account_dim_id", default_member=False),
+        facts.Lookup(channel, "channel", "channel", "channel_id", "channel_dim_id"),
+        facts.Lookup(contact, "contact", "contact", "contact_id", "contact_dim_id", default_member=False),
+        facts.Lookup(status, "status", "status", "status_id", "status_dim_id"), facts.Lookup(status, "resolution", "status", "status_id", "resolution_dim_id"),
+        facts.Lookup(priority, "priority", "priority", "priority_id", "priority_dim_id"),
+        facts.Lookup(facts.date_key_frame(o.filter(F.col("o_orderkey") % 6 != 0), "o_orderdate"), "o_orderdate", "dt", "sk_date", "date_dim_id", on_date=True),
+        facts.Lookup(kinds, "kind", "kind", "kind_id", "kind_dim_id"),
+        facts.Lookup(people, "who", "who", "who_id", "assignee_dim_id", extra=[("department_dim_id", "department_dim_id")])])
+    return out.select("key", "account_dim_id", "channel_dim_id", "contact_dim_id", "status_dim_id", "resolution_dim_id", "priority_dim_id", "date_dim_id",
+                      "kind_dim_id", "assignee_dim_id", "department_dim_id")
+
+
+# ------------------------------------------------------------------ D11, D13-D15, T2, C9
+def absent_members(spark: SparkSession, d: str) -> DataFrame:
+    """Projects, seeded products, sprints and epics inserted where absent, some rows
+    listed twice; per dimension the new members with their keys."""
+    p = _t(spark, d, "part")
+    brand = p.select("p_brand").distinct()
+    known = brand.filter(F.substring("p_brand", -1, 1) < "3")
+    project = known.select(F.crc32(F.col("p_brand").cast("binary")).alias("project_dim_id"), F.col("p_brand").alias("project_key"), F.lit("old").alias("project_name"))
+    project = dims.insert_if_absent(project, p.select(F.col("p_brand").alias("project_key"), F.col("p_name").alias("project_name")), ["project_key"], "project_dim_id")
+    segment = _t(spark, d, "customer").select("c_mktsegment").distinct()
+    product = segment.filter(F.col("c_mktsegment") > "F").select(F.length("c_mktsegment").cast("long").alias("product_dim_id"), F.col("c_mktsegment").alias("product_name"))
+    product = dims.insert_if_absent(product, segment.select(F.col("c_mktsegment").alias("product_name")).unionByName(
+        segment.select(F.concat(F.lit("Seed "), "c_mktsegment").alias("product_name"))), ["product_name"], "product_dim_id")
+    o = _t(spark, d, "orders")
+    listed = o.select(F.col("o_orderkey").alias("sprint_number"), F.col("o_custkey").alias("team_dim_id"), F.concat(F.lit("S"), "o_orderkey").alias("sprint_name"))
+    have = listed.filter(F.col("sprint_number") % 3 == 0).withColumns({"team_dim_id": F.lit(-1).cast("long"), "sprint_name": F.lit("old")})
+    sprint = dims.insert_if_absent(have, listed.unionByName(listed.withColumn("team_dim_id", F.col("team_dim_id") + 1)), ["sprint_number"], None)
+    epic = p.select(F.concat(F.lit("EP-"), F.col("p_partkey").cast("string")).alias("epic_key"), F.col("p_name").alias("epic_name"))
+    held = epic.filter(F.col("epic_key").endswith("7")).select(F.lit(9).cast("long").alias("epic_dim_id"), "epic_key", F.lit("old").alias("epic_name"))
+    epic = dims.insert_if_absent(held, epic.unionByName(epic.withColumn("epic_name", F.concat("epic_name", F.lit(" again")))), ["epic_key"], "epic_dim_id")
+    row = lambda df, dim, k, i, name: df.select(F.lit(dim).alias("dimension"), F.col(k).cast("string").alias("member"), F.col(i).alias("member_id"), F.col(name).alias("told"))
+    return (row(project, "project", "project_key", "project_dim_id", "project_name").unionByName(row(product, "product", "product_name", "product_dim_id", "product_name"))
+            .unionByName(row(sprint, "sprint", "sprint_number", "team_dim_id", "sprint_name")).unionByName(row(epic, "epic", "epic_key", "epic_dim_id", "epic_name")))
+
+
+def staged_ticket_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of tickets staged by several searches, each once, a null key too."""
+    li = _t(spark, d, "lineitem")
+    return transitions.staged_keys(li.select(F.when(F.col("l_orderkey") % 10 != 0, F.concat(F.lit("LI-"), F.col("l_orderkey").cast("string"))).alias("key")))
+
+
+def teams_at_work(spark: SparkSession, d: str) -> DataFrame:
+    """Active teams; a team whose flag is null is not one."""
+    c = _t(spark, d, "customer")
+    return sprints.active_teams(c.select(F.col("c_custkey").alias("team_dim_id"), F.col("c_name").alias("team_name"), F.col("c_nationkey").cast("long").alias("jira_rapid_view_id"),
+                                         F.when(F.col("c_acctbal") < 1000, F.col("c_acctbal") > 0).alias("is_active"), F.lit(1).alias("other")))
+
+
+# ------------------------------------------------------------------ A4 from a table
+CHECK_ROWS = [
+    ("orders", "orders", "count(*)", None, 0), ("orders", "keys beyond orders", "count(*) - count(distinct o_orderkey)", None, 0),
+    ("orders", "open orders", "count(*)", "o_orderstatus = 'O'", 0), ("orders", "orders without a customer", "count(*)", "o_custkey is null", 0),
+    ("orders", "customers of open orders", "count(distinct o_custkey)", "o_orderstatus = 'O'", 5), ("lineitem", "lines", "count(*)", None, 0),
+    ("lineitem", "lines of no quantity", "count(*)", "l_quantity <= 0", 0), ("lineitem", "highest line beyond 99", "max(l_linenumber)", "l_linenumber > 99", 0),
+    ("nowhere", "rows of a lost table", "count(*)", None, 0)]
+
+
+def check_table(spark: SparkSession, d: str) -> DataFrame:
+    checks = spark.createDataFrame(CHECK_ROWS, control.CHECK_T)
+    out = control.run_check_table(checks, {t: _t(spark, d, t) for t in ("orders", "lineitem")}, as_of=LOADS[0], task_id=3)
+    return out.select("table_name", "condition", "expected_value", "actual_value", "status", "created_date", "task_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (stage_roundtrip, page_gaps, landed_rejects, run_log, watermark_load, ticket_load, sprint_load)}
+    f.__name__: f for f in (
+        stage_roundtrip, page_gaps, landed_rejects, run_log, watermark_load, ticket_load, sprint_load, issue_columns, star_lookup_nine, absent_members,
+        staged_ticket_keys, teams_at_work, check_table)}
 
 ORACLE: dict[str, str] = {}
 
@@ -366,3 +486,76 @@ SELECT s.k AS sprint_number, team AS team_dim_id, serial AS sprint_serial_id, CA
        CAST(round(points) AS BIGINT) AS points_again, issues, open_at_close, with_epic, issues AS with_project
 FROM s LEFT JOIN o USING (k) LEFT JOIN h USING (k) LEFT JOIN d USING (k)
 """
+
+_SQL_LINES = """(SELECT l_orderkey, l_linenumber, unnest(min({'l_partkey': l_partkey, 'l_suppkey': l_suppkey, 'l_quantity': l_quantity, 'l_shipdate': l_shipdate,
+             'l_returnflag': l_returnflag, 'l_linestatus': l_linestatus})) FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+
+ORACLE["issue_columns"] = f"""
+WITH l AS (SELECT *, l_returnflag = 'R' AS r, l_linestatus = 'F' AS f, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') || '-0500' AS t FROM {_SQL_LINES})
+SELECT CASE WHEN NOT r THEN 'agent' || l_suppkey END AS assignee, 'C-' || l_partkey AS jira_case, CASE WHEN r THEN '[{{"name":"' || l_partkey || '"}}]' END AS components,
+       t AS created, 'Maker ' || l_partkey AS creator, ' ' || l_suppkey AS crm_account, CASE WHEN NOT f THEN CAST(l_suppkey AS VARCHAR) END AS crm_contact,
+       'line' || chr(10) || l_returnflag AS description, '[{{"name":"' || l_returnflag || '"}}]' AS fixVersions, CASE WHEN r THEN 'Return' ELSE 'Line' END AS issuetype,
+       'LI-' || l_orderkey || '-' || l_linenumber AS key, CASE WHEN NOT r THEN l_linestatus END AS priority, CASE WHEN f THEN 'Caller ' || l_partkey END AS reporter,
+       CASE WHEN f THEN 'Done' END AS resolution, CASE WHEN f THEN t END AS resolution_date, 'as shipped' AS status_description, l_linestatus AS status_name,
+       CASE WHEN r THEN 'true' ELSE 'false' END AS subtask, '"q" ' || l_partkey AS summary, t AS updated, '[{{"name":"' || l_linestatus || '"}}]' AS versions,
+       CAST(l_linenumber AS VARCHAR) AS watches, l_suppkey || '@x.test' AS reporter_email, l_returnflag AS channel,
+       CASE WHEN r THEN '[{{"self":"x","value":"' || l_partkey || '"}}]' END AS product_name, 'Plain' AS request_type, CASE WHEN NOT r THEN 'Agent ' || l_suppkey END AS assignee_name
+FROM l
+"""
+
+# crc32 of a text's bytes, which numbers the dimensions of the binding
+_SQL_CRC = """xor(list_reduce(list_transform(string_split({c}, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+    lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END),
+    4294967295), 4294967295)"""
+
+ORACLE["star_lookup_nine"] = f"""
+WITH s AS (SELECT o_orderkey AS key, c_custkey, c_name, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS channel, o_orderstatus, o_orderpriority, o_orderdate, c_nationkey,
+           CASE WHEN o_orderkey % 2 = 0 THEN 'P' WHEN o_orderkey % 3 = 0 THEN 'F' END AS resolution FROM orders JOIN customer ON o_custkey = c_custkey),
+known AS (SELECT DISTINCT o_orderstatus AS x FROM orders),
+dates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS dt FROM orders WHERE o_orderkey % 6 <> 0),
+num AS (SELECT x, {_SQL_CRC.format(c="x")} AS i FROM (SELECT DISTINCT c_mktsegment AS x FROM customer UNION SELECT x FROM known UNION SELECT DISTINCT o_orderpriority FROM orders
+        UNION SELECT DISTINCT 'type ' || (o_orderkey % 11) FROM orders))
+SELECT key, CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS account_dim_id, CASE WHEN channel IS NULL THEN 0 ELSE n1.i END AS channel_dim_id,
+       CASE WHEN c_custkey % 4 <> 0 THEN c_custkey + 3 END AS contact_dim_id, n2.i AS status_dim_id,
+       CASE WHEN resolution IS NULL THEN 0 WHEN resolution IN (SELECT x FROM known) THEN n3.i END AS resolution_dim_id,
+       CASE WHEN key % 5 <> 0 THEN n4.i END AS priority_dim_id, CASE WHEN dt IS NOT NULL THEN CAST(strftime(dt, '%Y%m%d') AS BIGINT) END AS date_dim_id,
+       CASE WHEN key % 11 <> 3 THEN n5.i END AS kind_dim_id, CAST(n_nationkey + 50 AS BIGINT) AS assignee_dim_id, CAST(n_regionkey AS BIGINT) AS department_dim_id
+FROM s LEFT JOIN num n1 ON n1.x = channel LEFT JOIN num n2 ON n2.x = o_orderstatus LEFT JOIN num n3 ON n3.x = resolution LEFT JOIN num n4 ON n4.x = o_orderpriority
+LEFT JOIN num n5 ON n5.x = 'type ' || (key % 11) LEFT JOIN dates ON dt = CAST(o_orderdate AS DATE) LEFT JOIN nation ON n_nationkey = c_nationkey
+"""
+
+ORACLE["absent_members"] = f"""
+WITH b AS (SELECT p_brand AS k, min(p_name) AS name, right(p_brand, 1) < '3' AS old FROM part GROUP BY p_brand),
+ob AS (SELECT coalesce(max({_SQL_CRC.format(c="k")}), 0) AS m FROM b WHERE old),
+g AS (SELECT DISTINCT c_mktsegment AS k FROM customer), og AS (SELECT k, length(k) AS i FROM g WHERE k > 'F'),
+ng AS (SELECT k FROM (SELECT k FROM g UNION SELECT 'Seed ' || k FROM g) WHERE k NOT IN (SELECT k FROM og)),
+e AS (SELECT 'EP-' || p_partkey AS k, min(p_name) AS name FROM part GROUP BY 1)
+SELECT 'project' AS dimension, k AS member, {_SQL_CRC.format(c="k")} AS member_id, 'old' AS told FROM b WHERE old
+UNION ALL SELECT 'project', k, m + row_number() OVER (ORDER BY k), name FROM b, ob WHERE NOT old
+UNION ALL SELECT 'product', k, i, k FROM og
+UNION ALL SELECT 'product', k, (SELECT coalesce(max(i), 0) FROM og) + row_number() OVER (ORDER BY k), k FROM ng
+UNION ALL SELECT 'sprint', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END, CASE WHEN o_orderkey % 3 = 0 THEN 'old' ELSE 'S' || o_orderkey END FROM orders
+UNION ALL SELECT 'epic', k, 9, 'old' FROM e WHERE k LIKE '%7'
+UNION ALL SELECT 'epic', k, (SELECT CASE WHEN count(*) > 0 THEN 9 ELSE 0 END FROM e WHERE k LIKE '%7') + row_number() OVER (ORDER BY k), name FROM e WHERE k NOT LIKE '%7'
+"""
+
+ORACLE["staged_ticket_keys"] = "SELECT DISTINCT CASE WHEN l_orderkey % 10 <> 0 THEN 'LI-' || l_orderkey END AS key FROM lineitem"
+
+ORACLE["teams_at_work"] = """
+SELECT c_custkey AS team_dim_id, c_name AS team_name, CAST(c_nationkey AS BIGINT) AS jira_rapid_view_id FROM customer WHERE c_acctbal > 0 AND c_acctbal < 1000
+"""
+
+ORACLE["check_table"] = f"""
+WITH c(table_name, condition, expected_value, actual_value) AS (
+    SELECT 'orders', 'orders', 0, (SELECT count(*) FROM orders)
+    UNION ALL SELECT 'orders', 'keys beyond orders', 0, (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders)
+    UNION ALL SELECT 'orders', 'open orders', 0, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O')
+    UNION ALL SELECT 'orders', 'orders without a customer', 0, (SELECT count(*) FROM orders WHERE o_custkey IS NULL)
+    UNION ALL SELECT 'orders', 'customers of open orders', 5, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'O')
+    UNION ALL SELECT 'lineitem', 'lines', 0, (SELECT count(*) FROM lineitem)
+    UNION ALL SELECT 'lineitem', 'lines of no quantity', 0, (SELECT count(*) FROM lineitem WHERE l_quantity <= 0)
+    UNION ALL SELECT 'lineitem', 'highest line beyond 99', 0, (SELECT coalesce(max(l_linenumber), 0) FROM lineitem WHERE l_linenumber > 99)
+    UNION ALL SELECT 'nowhere', 'rows of a lost table', 0, NULL)
+SELECT table_name, condition, CAST(expected_value AS BIGINT) AS expected_value, CAST(actual_value AS BIGINT) AS actual_value,
+       CASE WHEN expected_value = actual_value THEN 'Success' ELSE 'Fail' END AS status, TIMESTAMP '{LOADS[0]}' AS created_date, CAST(3 AS BIGINT) AS task_id FROM c
+"""

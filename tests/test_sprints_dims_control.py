@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -147,3 +148,41 @@ def test_active_teams_and_staged_keys(spark):
     assert rows(sprints.active_teams(team)) == [(1, "A", 10)]
     stage = spark.createDataFrame([("K1",), ("K1",), ("K2",)], "key string")
     assert rows(transitions.staged_keys(stage)) == [("K1",), ("K2",)]
+
+
+def test_points_from_stored_issues(spark):
+    issue = lambda p, r: json.dumps({"fields": {"customfield_10411": p, "resolutiondate": r}})
+    at = "2024-01-05T10:00:00.000-0500"
+    texts = [issue(2.5, at), issue("3", at), issue(None, at), issue("many", at), issue(4, "soon"), issue(8, None), "{}", "no json", None]
+    issues = spark.createDataFrame([(i, 1, t) for i, t in enumerate(texts)], "sprint_number long, team_dim_id long, ticket_details string")
+    got = sprints.issue_points(issues).orderBy("sprint_number").collect()
+    assert [None if r.points is None else float(r.points) for r in got] == [2.5, 3, None, None, 4, 8, None, None, None]
+    assert [r.resolution_date and r.resolution_date.hour for r in got] == [10, 10, 10, 10, None, None, None, None, None]
+
+
+def test_only_touched_sprints_get_measures(spark):
+    d = lambda n: dt.datetime(2024, 1, n)
+    issue = json.dumps({"fields": {"customfield_10411": 5, "resolutiondate": "2024-01-03T00:00:00.000"}})
+    summary = spark.createDataFrame([(1, 1, d(1), d(9), Decimal(7), 70), (2, 1, d(1), d(9), None, None), (3, 1, d(1), d(9), Decimal(9), 90)],
+                                    "sprint_number long, team_dim_id long, sprint_start_date timestamp_ntz, sprint_end_date timestamp_ntz, "
+                                    "non_maintenance_feature_points decimal(38,6), number_of_devs long")
+    issues = spark.createDataFrame([(s, 1, issue, True, m) for s, m in ((1, False), (2, False), (2, False), (2, True))],
+                                   "sprint_number long, team_dim_id long, ticket_details string, is_active boolean, is_maintenance boolean")
+    members = spark.createDataFrame([(u, 1, dt.datetime(2023, 1, 1), None) for u in (1, 2)],
+                                    "user_dim_id long, team_dim_id long, team_entry_date timestamp_ntz, team_exit_date timestamp_ntz")
+    touched = spark.createDataFrame([(2, 1), (2, 1), (3, 1), (4, 1)], "sprint_number long, team_dim_id long")
+    out = sprints.store_measures(summary, issues, members, touched, "2024-02-01 00:00:00")
+    assert rows(sprints.sprint_measures(out)) == [(1, 1, 7, 70), (2, 1, 10, 2), (3, 1, 0, 2)]
+    assert rows(sprints.sprint_measures(sprints.store_measures(summary, issues, members, summary, "2024-02-01 00:00:00"))) == [(1, 1, 5, 2), (2, 1, 10, 2), (3, 1, 0, 2)]
+
+
+def test_checks_from_a_table_scan_each_table_once(spark):
+    t = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k long, v string")
+    spec = [("t", "rows", "count(*)", None, 3), ("t", "keys", "count(distinct k)", "v is not null", 1), ("t", "none", "max(k)", "k > 9", 0), ("gone", "rows", "count(*)", None, 0)]
+    out = control.run_check_table(spark.createDataFrame(spec, control.CHECK_T), {"t": t})
+    assert rows(out, "condition", "actual_value", "status") == [("keys", 1, "Success"), ("none", 0, "Success"), ("rows", 3, "Success"), ("rows", None, "Fail")]
+    assert control.run_check_table(spark.createDataFrame([], control.CHECK_T), {}).collect() == []
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    both = [("o", "rows", "count(*)", None, 1500), ("o", "open", "count(*)", "o_orderstatus = 'O'", 0), ("o", "customers", "count(distinct o_custkey)", None, 0)]
+    plan = control.run_check_table(spark.createDataFrame(both, control.CHECK_T), {"o": o})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
