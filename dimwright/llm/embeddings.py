@@ -10,7 +10,8 @@ vectors are cut into blocks of BLOCK that work alone and read the cell's vectors
 as a stream, so a dense cell gets more tasks, not larger ones.
 
 Equal vectors are one class with a count. Products in single precision pick
-candidates (with a margin above their error), double precision decides.
+candidates (with a margin above their error), double precision decides, a slice
+of the pairs at a time: memory grows with a block, not with its links.
 
 Vectors spread evenly over many dimensions lie near every border, and any exact
 join of them compares nearly all pairs; the cells prune as far as the vectors
@@ -18,6 +19,7 @@ cluster.
 
 Edge cases: null vectors, zero vectors and vectors with a null or non-finite
 component link with nothing, nor do vectors of other lengths with each other;
+components near the limits of a double are scaled by a power of two first;
 rows that share a vec_id are one node; a null vec_id orders last and stays
 null; an empty table gives an empty result.
 """
@@ -38,6 +40,8 @@ COSINE = 0.9
 PIVOT_SAMPLE = 2000     # vectors that pivots are chosen among
 PIVOTS = 16
 BLOCK = 4096
+TILE = 256              # vectors of a block multiplied at once
+SLICE = 32_768          # candidate pairs decided at once
 _SLACK = 1e-4           # above the rounding error of single-precision products
 
 
@@ -62,11 +66,28 @@ def cells(v: np.ndarray, pivots: np.ndarray, r: float) -> tuple[np.ndarray, np.n
     return home, beyond <= (r + 1e-6) * gap[home] + 1e-9
 
 
-def _unit(rows: list[bytes]) -> np.ndarray:
-    v = np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
+def normed(v: np.ndarray) -> np.ndarray:
+    """Unit vectors; scaled by a power of two first, so that no square overflows or vanishes."""
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, initial=0))[1][:, None])
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def _unit(rows: list[bytes]) -> np.ndarray:
+    return normed(np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1))
+
+
+def close_pairs(a: np.ndarray, b: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of unit vectors of a and b with the cosine, slice by slice: memory does not grow with the pairs."""
+    a32, b32 = a.astype(np.float32), b.astype(np.float32).T.copy()
+    for lo in range(0, len(a), TILE):
+        i, j = np.nonzero(a32[lo:lo + TILE] @ b32 >= cosine - _SLACK)
+        i += lo
+        for at in range(0, len(i), SLICE):
+            p, q = i[at:at + SLICE], j[at:at + SLICE]
+            ok = np.einsum("ij,ij->i", a[p], b[q]) >= cosine
+            yield p[ok], q[ok]
+
+
 def _deal(batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray], r: float) -> Iterator[pa.RecordBatch]:
     """Vectors to the units (dim, cell, block) they work in (kind 0) or are read by (kind 1)."""
     for ids, dims, blocks, nbs, counts, raw in columns_of(batches, "id", "dim", "block", "nb", "n", "raw"):
@@ -86,12 +107,12 @@ def _deal(batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray], r: f
 
 def _join(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
     """Of each vector at home: links (as counts of vectors) and the smallest linked ids, found in one stream."""
-    now, home, block, ids, links, edges = None, [], None, None, None, []
+    now, home, block, ids, links, forest = None, [], None, None, None, None
 
     def close():
         if block is None:
             return
-        n, parents = links, edges
+        n, parents = links, forest.edges
         a = pa.array(ids.tolist() + [x for x, _ in parents], pa.int64())
         yield pa.record_batch([a, pa.array([None] * len(ids) + [y for _, y in parents], pa.int64()),
                                pa.array(n.tolist() + [0] * len(parents), pa.int64())], names=["a", "b", "n_links"])
@@ -105,42 +126,64 @@ def _join(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Recor
             key = dims[lo], cs[lo], bs[lo]
             if key != now:
                 yield from close()
-                now, home, block, edges = key, [], None, []
+                now, home, block = key, [], None
             if kinds[lo] == 0:
                 home += list(zip(vid[lo:hi], raw[lo:hi]))
             elif home:
                 if block is None:
                     ids = np.array([x for x, _ in home])
-                    block = _unit([x for _, x in home])
-                    small, links = block.astype(np.float32), np.zeros(len(ids), np.int64)
+                    block, links, forest = _unit([x for _, x in home]), np.zeros(len(ids), np.int64), Forest(ids)
                 v, other, n = _unit(raw[lo:hi]), np.array(vid[lo:hi]), np.array(counts[lo:hi])
-                i, j = np.nonzero(small @ v.astype(np.float32).T >= cosine - _SLACK)
-                ok = np.einsum("ij,ij->i", block[i], v[j]) >= cosine
-                i, j = i[ok], j[ok]
-                other_than = ids[i] != other[j]
-                np.add.at(links, i[other_than], n[j[other_than]])
-                up = other[j] < ids[i]
-                edges += _forest(ids[i[up]], other[j[up]])
+                forest.meet(other)
+                for i, j in close_pairs(block, v, cosine):
+                    apart = ids[i] != other[j]
+                    np.add.at(links, i[apart], n[j[apart]])
+                    up = other[j] < ids[i]
+                    forest.link(i[up], j[up])
             lo = hi
     yield from close()
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning forest of the pairs."""
-    root: dict[int, int] = {}
-
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = find(x), find(y)
-        if p != q:
-            root[p] = q
-            out.append((x, y))
-    return out
+class Forest:
+    """Spanning forest of links between the vectors of a block and those that stream by.
+
+    ``edges`` holds a link only if it joins two parts that were apart, so it grows
+    with the vectors, not with the links.
+    """
+
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.n, self.edges = ids, len(ids), []
+        self.part = np.arange(self.n)       # the smallest place in the same part; the block's places come first
+        self.other = ids[:0]
+
+    def meet(self, other: np.ndarray) -> None:
+        """The next vectors of the stream; parts of the block are kept."""
+        self.other = other
+        self.part = np.concatenate([self.part[:self.n], np.arange(self.n, self.n + len(other))])
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Links between block[i] and other[j]."""
+        while True:
+            a, b = self.part[i], self.part[self.n + j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            _, one = np.unique(a, return_index=True)        # a link of each part at most, then look again
+            root: dict[int, int] = {}
+            for x, y, p, q in zip(i[one].tolist(), j[one].tolist(), a[one].tolist(), b[one].tolist()):
+                while p in root:
+                    p = root[p]
+                while q in root:
+                    q = root[q]
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    self.edges.append((int(self.ids[x]), int(self.other[y])))
+            up = np.arange(len(self.part))
+            up[list(root)] = list(root.values())
+            while (up != up[up]).any():
+                up = up[up]
+            self.part = up[self.part]
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -160,7 +203,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     for row in classes.groupBy("k2").agg(F.count(F.lit(1)).alias("n")).collect():      # a row for each length of vector
         some = classes.where(F.col("k2") == row.k2).orderBy("k0", "id").limit(PIVOT_SAMPLE).select("e").collect()
         s = np.array([x.e for x in some])
-        dims[row.k2] = choose_pivots(s / np.linalg.norm(s, axis=1, keepdims=True), PIVOTS), row.n
+        dims[row.k2] = choose_pivots(normed(s), PIVOTS), row.n
     if not dims:
         return v.select(F.nullif("id", F.lit(NULL_ID)).alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
                         F.nullif("id", F.lit(NULL_ID)).alias("component_id"), F.lit(True).alias("kept"))

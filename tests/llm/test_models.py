@@ -1,5 +1,6 @@
 """Operators 1, 6 and 7: held-out accuracy, and brute force."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -128,3 +129,58 @@ def test_vectors(spark, monkeypatch):
         got = sorted((-1 if r.vec_id is None else r.vec_id, r.n_links, -1 if r.component_id is None else r.component_id, r.kept) for r in near_vectors(v).collect())
         assert got == want
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_components_near_the_limits_of_a_double(spark):
+    rows = [(0, [1e200, 2e200, 0.0]), (1, [1e-200, 2e-200, 0.0]), (2, [1.0, 2.0, 0.0]), (3, [-1e300, -2e300, 0.0]), (4, [5e-324, 1e-323, 0.0])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("vec_id").collect()
+    assert [(r.n_links, r.component_id) for r in got] == [(3, 0), (3, 0), (3, 0), (0, 3), (3, 0)]
+
+
+def test_many_close_vectors_take_little_memory():
+    """5,000 vectors that all link: 25 million pairs, decided slice by slice."""
+    rng = np.random.default_rng(2)
+    v = embeddings.normed(1 + rng.normal(scale=.02, size=(5000, 64)))
+    ids, forest, n = np.arange(5000) * 3, embeddings.Forest(np.arange(5000) * 3), 0
+    tracemalloc.start()
+    forest.meet(ids)
+    for i, j in embeddings.close_pairs(v, v, 0.9):
+        n += len(i)
+        up = ids[j] < ids[i]
+        forest.link(i[up], j[up])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 5000 * 5000 and peak < 300e6
+    find = {x: x for x in ids.tolist()}
+
+    def root(x):
+        while find[x] != x:
+            x = find[x]
+        return x
+    for a, b in forest.edges:
+        x, y = sorted((root(a), root(b)))
+        find[y] = x
+    assert len(forest.edges) <= 2 * 5000 and {root(x) for x in ids.tolist()} == {0}
+
+
+def test_forest_joins_what_the_links_join():
+    rng = np.random.default_rng(9)
+    for _ in range(30):
+        ids, streams = rng.permutation(60)[:20], [rng.permutation(60)[:25] for _ in range(3)]
+        forest, links = embeddings.Forest(ids), []
+        for other in streams:
+            forest.meet(other)
+            i, j = np.nonzero(rng.random((20, 25)) < .04)
+            forest.link(i[:7], j[:7])
+            forest.link(i[7:], j[7:])
+            links += list(zip(ids[i].tolist(), other[j].tolist()))
+
+        def groups(edges):
+            of = {x: {x} for x in range(60)}
+            for a, b in edges:
+                if of[a] is not of[b]:
+                    of[a] |= of[b]
+                    for x in of[a]:
+                        of[x] = of[a]
+            return {frozenset(g) for g in of.values()}
+        assert groups(forest.edges) == groups(links) and set(forest.edges) <= set(links)
