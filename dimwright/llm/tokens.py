@@ -32,6 +32,25 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+class Stretches(dict):
+    """Ids of stretches; one that is not there is looked up in the generation before, or learned.
+    A full dictionary becomes that generation."""
+
+    def __init__(self, learn, most: int):
+        super().__init__()
+        self.learn, self.most, self.old = learn, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.learn(key)
+        self[key] = ids
+        return ids
+
+
 class Encoder:
     """Token ids of texts as the tokenizer gives them (special tokens' strings are ordinary text).
 
@@ -53,12 +72,10 @@ class Encoder:
         self.tok.encode_special_tokens = True
         self.spaced = spaced
         self.merge = self.tok.model.tokenize
+        self.lead = " " if spaced else ""
+        self.cut_pieces = (_SPACED_PIECE if spaced else _PIECE).findall
         self.pieces: dict[str, bytes] = {}
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        self.memo = Stretches(self._learn, MEMO)
 
     def _piece(self, text: str) -> bytes:
         """Ids of one piece, by the tokenizer's merges."""
@@ -81,40 +98,29 @@ class Encoder:
             return [f"\0{parts[0]}", *(f" {p}" if p[0] == "\0" else p for p in parts[1:])]
         return ("\0" + text.replace("\n", " \0\n \0")).split(" ")
 
-    def _learn(self, keys: set[str]) -> None:
-        lead = " " if self.spaced else ""
-        cut = (_SPACED_PIECE if self.spaced else _PIECE).findall
-        known, memo = self.pieces.get, self.memo
-        others = []
-        for k in keys:
-            if k.isalpha() and k.isascii():     # one piece
-                p = " " + k if self.spaced else k.lower()
-                memo[k] = known(p) or self._piece(p)
-                continue
-            if k[0] == "\0":
-                core = k[1:]
-            elif k[:2] == " \0":
-                core = lead + k[1:]
-            else:
-                core = lead + k
-            if _PLAIN.fullmatch(core) is None:
-                others.append((k, core))
-                continue
-            parts = cut(core if self.spaced else core.lower())
-            memo[k] = known(parts[0]) or self._piece(parts[0]) if len(parts) == 1 else b"".join([known(p) or self._piece(p) for p in parts])
-        memo.update(zip([k for k, _ in others], self._raw([core for _, core in others])))
+    def _ids(self, piece: str) -> bytes:
+        return self.pieces.get(piece) or self._piece(piece)
+
+    def _learn(self, k: str) -> bytes:
+        """Ids of a stretch as :meth:`cut` gives it."""
+        if k.isascii():
+            word, last = (k, "") if k.isalpha() else (k[:-1], k[-1])
+            if word.isalpha() and (not last or last in ".,"):       # one piece, or a word and its stop or comma
+                ids = self._ids(self.lead + (word if self.spaced else word.lower()))
+                return ids + self._ids(last) if last else ids
+        if k[0] == "\0":
+            core = k[1:]
+        elif k[:2] == " \0":
+            core = self.lead + k[1:]
+        else:
+            core = self.lead + k
+        if _PLAIN.fullmatch(core) is None:
+            return array("I", self.tok.encode(core, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self._ids, self.cut_pieces(core if self.spaced else core.lower())))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self.cut(t) for t in texts]
-        found = [list(map(self.memo.get, p)) for p in parts]
-        new = {w for p, f in zip(parts, found) for w, ids in zip(p, f) if ids is None}
-        if len(self.memo) + len(new) > MEMO:
-            self.old, self.memo = self.memo, {}
-        known = new & self.old.keys()
-        self.memo.update((k, self.old[k]) for k in known)
-        self._learn(new - known)
-        memo = self.memo
-        return [np.frombuffer(b"".join([memo[w] if ids is None else ids for w, ids in zip(p, f)]), np.uint32) for p, f in zip(parts, found)]
+        get = self.memo.__getitem__
+        return [np.frombuffer(b"".join(map(get, self.cut(t))), np.uint32) for t in texts]
 
 
 @lru_cache(maxsize=2)
