@@ -13,7 +13,8 @@ carried into the next, so each partition pads one last window.
 
 Edge cases: a null text is an empty one; an empty document is its end id; a
 document of any length is cut over as many windows as it needs; repeated rows
-are packed each; a null doc_id is kept; an empty table gives an empty result.
+are packed each; a null doc_id is kept; malformed UTF-8 is read as replacement
+characters; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -116,7 +117,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, with_ids: b
 
     held = 0
     for ids, texts in by_size(batches, "text", ["doc_id", "text"], 1_000_000):
-        for d, x in zip(ids, enc.batch([t.decode() if t else "" for t in texts])):
+        for d, x in zip(ids, enc.batch([t.decode("utf-8", "replace") if t else "" for t in texts])):
             head.append((d, 0, len(x) + 1, np.append(x, np.uint32(END)).astype("<u4")))
             held += len(x) + 1
         if held >= STRETCH:

@@ -15,8 +15,11 @@ Parquet table in the shared folder, one part file per range of doc_ids: Spark
 commits and re-reads them on any store.
 
 Edge cases: a null text is an empty one; an empty document holds the end id
-only; null doc_ids come first; repeated rows are written each; an empty table
-gives an empty result.
+only; null doc_ids come first; rows that share a doc_id stand in the order of
+a hash of their texts, so an order that holds wherever the rows are stored, and
+the rows of one id spread over tasks;
+repeated rows are written each; malformed UTF-8 is read as replacement
+characters; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -164,7 +167,7 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, payload: int) -> Iterat
                                 pa.array([write_payload(ids, docs)], pa.binary())], names=["file", "before", "n_ids", "payload"])
 
     for doc_ids, texts in by_size(batches, "text", ["doc_id", "text"], 1_000_000):
-        for d, x in zip(doc_ids, enc.batch([t.decode() if t else "" for t in texts])):
+        for d, x in zip(doc_ids, enc.batch([t.decode("utf-8", "replace") if t else "" for t in texts])):
             ids.append(d)
             docs.append(np.append(x, np.uint32(END)))
             held += len(x) + 1
@@ -189,7 +192,8 @@ def write_token_files(docs: DataFrame, path: str, payload: int = PAYLOAD) -> Dat
     """Encode docs(doc_id, text), write the files, return them as (file, before, n_ids, payload)."""
     n = width(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    d = d.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    tie = F.xxhash64("text")       # the range sample holds ids and hashes, not texts
+    d = d.repartitionByRange(n, F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie)
     return materialize(d.mapInArrow(lambda it: _write(it, path, payload), "file int, before long, n_ids long, payload binary"), "token-files")
 
 

@@ -140,3 +140,16 @@ def test_stretches_join(spark, monkeypatch):
     fill = out.groupby("sequence_id").length.sum()
     assert (fill.iloc[:-1] > 2000).all() and fill.max() <= 2048
     assert (out.groupby("doc_id").length.sum() == out.groupby("doc_id").doc_tokens.first()).all()
+
+
+def test_malformed_texts_and_tied_ids(spark):
+    """Malformed bytes read as replacement characters; rows of one id keep one order however they are stored."""
+    docs = spark.sql("select cast(1 as long) as doc_id, cast(x'ff6120ff' as string) as text union all select 2, 'a b'")
+    bad = [*plain(BYTE, b"\xffa \xff".decode("utf-8", "replace")), 0]
+    got = read_token_files(write_token_files(docs, BYTE)).orderBy("doc_id").collect()
+    assert (got[0].n_tokens, got[0].ids_crc32) == (len(bad), zlib.crc32(np.array(bad, "<u4").tobytes())) and got[1].start == len(bad)
+    assert sum(r.length for r in pack_documents(docs, WORD).where("doc_id = 1").collect()) == len(plain(WORD, "\ufffda \ufffd")) + 1
+    tied = spark.createDataFrame([(7, f"text {i} " * (i + 1)) for i in range(40)] + [(7, None), (None, "x"), (None, "yy")], "doc_id long, text string")
+    one, two = (sorted((r.start, r.n_tokens, r.ids_crc32) for r in read_token_files(write_token_files(t, BYTE)).collect())
+                for t in (tied.repartition(3), tied.orderBy("text").repartition(5)))
+    assert one == two and [s for s, _, _ in one] == [sum(n for _, n, _ in one[:i]) for i in range(43)]
