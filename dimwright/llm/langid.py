@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -152,10 +151,11 @@ def language(text: Column, profiles: Profiles | None) -> Column:
     """Struct (lang_pred, score) of a text column."""
     held = SparkSession.active().sparkContext.broadcast(profiles)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def predict(texts: pa.Array) -> pa.Array:
         p = held.value
-        return pd.DataFrame([p.predict(_text(t)) if p else ("und", 0.0) for t in texts], columns=["lang_pred", "score"])
+        got = [p.predict(_text(t)) if p else ("und", 0.0) for t in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], names=["lang_pred", "score"])
     return predict(text.cast("binary"))
 
 

@@ -40,6 +40,7 @@ SENTENCE = 2
 TRUNCATE = 24
 FORCED = 64         # tokens without a boundary after which a cut inside is offered
 STRETCH = 1_000_000  # tokens planned at once
+MEMO = 200_000      # stretches of text in each generation a worker keeps; the pipeline's workers hold other stages' memos too
 
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -85,7 +86,7 @@ def best_cuts(at: list[int], penalty: list[int], length: int = LENGTH, open_end:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path, False)
+    enc = encoder(path, False, MEMO)
     sentence = np.zeros(enc.tok.get_vocab_size() + 2, bool)
     sentence[[i for t, i in enc.tok.get_vocab().items() if re.fullmatch(r"[^\w\s]*[.!?][\"')\]]*</w>", t)]] = True
     seq = TaskContext.get().partitionId() << 33      # sequence ids of a partition

@@ -64,7 +64,7 @@ class Encoder:
     any other goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, memo: int = MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -75,7 +75,7 @@ class Encoder:
         self.lead = " " if spaced else ""
         self.cut_pieces = (_SPACED_PIECE if spaced else _PIECE).findall
         self.pieces: dict[str, bytes] = {}
-        self.memo = Stretches(self._learn, MEMO)
+        self.memo = Stretches(self._learn, memo)
 
     def _piece(self, text: str) -> bytes:
         """Ids of one piece, by the tokenizer's merges."""
@@ -124,5 +124,5 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, spaced: bool) -> Encoder:
-    return Encoder(path, spaced)
+def encoder(path: str, spaced: bool, memo: int = MEMO) -> Encoder:
+    return Encoder(path, spaced, memo)
