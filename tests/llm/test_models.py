@@ -11,7 +11,7 @@ from dimwright.llm import embeddings
 from dimwright.llm.common import table
 from dimwright.llm.embeddings import near_vectors
 from dimwright.llm.langid import DIM, Profiles, identify, learn, letter_vector, trigram_keys
-from dimwright.llm.toxicity import segment_means, toxicity
+from dimwright.llm.toxicity import SEGMENT, cross_validate, loss_and_gradient, segment_bags, segment_means, toxicity, worst_means
 
 SF = "/root/testdata/sf0.01"
 
@@ -39,6 +39,52 @@ def test_toxicity_edges(spark):
     assert segment_means(np.array([])).tolist() == [0.0]
 
 
+def test_toxicity_scores_of_a_batch():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        size = rng.choice([0, 1, 2, 3, 4, 5, 9, 300], rng.integers(1, 30))
+        z = rng.normal(size=size.sum())
+        parts = np.split(z, np.cumsum(size)[:-1])
+        assert np.allclose(worst_means(z, size), [segment_means(x).max() for x in parts], rtol=0, atol=1e-12)
+    assert worst_means(np.zeros(0), np.zeros(0, np.int64)).tolist() == []
+
+
+def test_toxicity_gradient_by_finite_differences():
+    texts = ["you are a vile fool", "a calm day by the sea and more of it", "", "vile", "the sea is calm"]
+    bags = segment_bags(texts, SEGMENT)
+    flat = np.unique(bags[0])
+    bags = (np.searchsorted(flat, bags[0]), *bags[1:])          # few buckets
+    y, weight = np.array([1, 0, 0, 1, 0]), np.array([.2, .1, .1, .3, .3])
+    rng = np.random.default_rng(4)
+    params = [rng.normal(0, .5, (len(flat), 3)), rng.normal(0, .5, (2, 3)), rng.normal(0, .5, 2)]
+    _, grad = loss_and_gradient(params, bags, y, weight, 1e-3)
+    for p, g in zip(params, grad):
+        for at in list(np.ndindex(p.shape))[:40]:
+            was = p[at]
+            p[at] = was + 1e-6
+            up = loss_and_gradient(params, bags, y, weight, 1e-3)[0]
+            p[at] = was - 1e-6
+            down = loss_and_gradient(params, bags, y, weight, 1e-3)[0]
+            p[at] = was
+            assert abs((up - down) / 2e-6 - g[at]) < 1e-6
+
+
+def test_toxicity_cross_validation_is_over_unseen_rows():
+    rng = np.random.default_rng(6)
+    bad, good = ["vilefool", "hatescum", "rottenjerk"], [f"plain{i}" for i in range(30)]
+    texts = [" ".join(rng.choice(good, 12)) for _ in range(60)]
+    labels = [0] * 30 + [1] * 30
+    texts[30:] = [t + " " + str(rng.choice(bad)) for t in texts[30:]]
+    assert cross_validate(texts, labels, 3, 1e-5) < 0.4 < cross_validate(texts, rng.permutation(labels).tolist(), 3, 1e-5)
+
+
+def test_toxicity_of_text_that_is_not_utf8(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([b"\xff\xfe vile words", b"fine words", None, b""] * 5)], "doc_id long, text binary")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(20)], "doc_id long, toxic int")
+    got = toxicity(docs, labels).collect()
+    assert len(got) == 20 and all(0 <= r.score <= 1 for r in got)
+
+
 def test_language(spark):
     docs = table(spark, SF, "documents")
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
