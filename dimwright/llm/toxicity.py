@@ -41,9 +41,9 @@ SAMPLE = 1500       # toxic rows to learn from
 CLEAN = 3000        # clean rows to learn from
 BUCKETS = 1 << 17
 DIM = 8
-SEGMENT = 3
+SEGMENT = 2
 EPOCHS = 80
-DECAY = 1e-5        # weight decay of the vectors
+DECAY = 5e-4        # weight decay of the vectors
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"\w+")
