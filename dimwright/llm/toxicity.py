@@ -41,9 +41,9 @@ SAMPLE = 1500       # toxic rows to learn from
 CLEAN = 3000        # clean rows to learn from
 BUCKETS = 1 << 17
 DIM = 8
-SEGMENT = 2
+SEGMENT = 3
 EPOCHS = 80
-DECAY = 5e-4        # weight decay of the vectors
+DECAY = 1e-4        # weight decay of the vectors
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"\w+")
@@ -150,8 +150,8 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, segment: int = SEGME
     return (z[:, 1] - z[:, 0]).astype(np.float32), float(bias[1] - bias[0])
 
 
-def cross_validate(texts: list[str], labels: list[int], segment: int, decay: float, folds: int = 3) -> float:
-    """Mean loss per class of rows that a model has not seen, over folds of the learning rows."""
+def cross_validate(texts: list[str], labels: list[int], segment: int, decay: float, folds: int = 3) -> tuple[float, float]:
+    """(mean loss per class, AUC) of rows that a model has not seen, over folds of the learning rows."""
     y = np.array(labels)
     at = np.array([zlib.crc32(t.encode()) % folds for t in texts])      # equal texts stay together
     margin = np.zeros(len(y))
@@ -162,7 +162,10 @@ def cross_validate(texts: list[str], labels: list[int], segment: int, decay: flo
         for i in np.flatnonzero(at == f).tolist():
             margin[i] = segment_means(np.array([memo[w] for w in _WORD.findall(texts[i].lower())]), segment).max() + bias
     loss = np.logaddexp(0, margin) - y * margin
-    return float((loss[y == 1].mean() + loss[y == 0].mean()) / 2)
+    ranks = np.argsort(np.argsort(margin))
+    n = int((y == 1).sum())
+    auc = (ranks[y == 1].sum() - n * (n - 1) / 2) / (n * (len(y) - n))
+    return float((loss[y == 1].mean() + loss[y == 0].mean()) / 2), float(auc)
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
