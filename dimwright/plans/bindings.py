@@ -394,8 +394,7 @@ def time_between(spark: SparkSession, d: str) -> DataFrame:
     ev = _t(spark, d, "events")
     m = _event_map(ev)
     staged = _staged_users(ev)
-    out = transitions.time_in_status(m, staged, tie_break=["event_id"])
-    out = transitions.time_with_assignee(out, staged, tie_break=["event_id"])
+    out = transitions.time_measures(m, staged, tie_break=["event_id"])
     return out.select("event_id", "time_spent_in_status_in_days", "time_spent_in_status_in_hours",
                       "time_spent_in_status_in_minutes", "time_spent_by_assignee_in_days",
                       "time_spent_by_assignee_in_hours", "time_spent_by_assignee_in_minutes")
@@ -405,9 +404,8 @@ def first_interval(spark: SparkSession, d: str) -> DataFrame:
     ev = _t(spark, d, "events")
     m = _event_map(ev)
     staged = _staged_users(ev)
-    out = transitions.time_in_status(m, staged, tie_break=["event_id"])
+    out = transitions.time_measures(m, staged, tie_break=["event_id"])
     out = transitions.first_status_interval(out, staged)
-    out = transitions.time_with_assignee(out, staged, tie_break=["event_id"])
     out = transitions.first_assignee_interval(out, staged)
     return out.select("event_id", "time_spent_in_status_in_days", "time_spent_in_status_in_hours",
                       "time_spent_in_status_in_minutes", "time_spent_by_assignee_in_days",
