@@ -107,3 +107,19 @@ def test_spans_of_pages(spark):
     with pytest.raises(pages.PagesRejected, match="issues page 2: null page"):
         pages.require_readable(pages.rejects(d, landed.ISSUES))
     pages.require_readable(pages.rejects(d.where(F.col("page") < 2), landed.ISSUES))
+
+
+def test_a_page_is_parsed_once(spark):
+    from dimwright.plans.bindings import landed_options
+    from dimwright.plans.load_bindings import issue_columns
+    from tests.test_oracle import SF
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    docs = spark.createDataFrame([(1, '{"issues":[{"id":"1","key":"K-1"}]}'), (2, '{"issues":[]}'), (3, '{"issues":[null]}')], "page long, value string")
+    for read in (landed.read_issue_pages, landed.read_sprint_issue_pages):
+        assert plan(read(docs)).count("from_json") == 1
+    assert rows(landed.read_issue_pages(docs), "key") == [("K-1",), (None,)]
+    for query in (issue_columns, landed_options):
+        text = plan(query(spark, SF))
+        assert text.count("columnNameOfCorruptRecord") == 1
+        assert "collect_list(struct(l_orderkey, l_orderkey#" in text      # lines as they are, not rendered
