@@ -101,3 +101,21 @@ def test_deactivate_and_fill(spark):
     assert rows(out, "jira_key", "is_active") == [(1, False), (2, True), (3, False)]
     out = facts.fill_from_dim(fact, dim, "fk", "id", "dep", "dep")
     assert rows(out, "jira_key", "dep") == [(1, 7), (2, 5), (3, 7)]
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        target = spark.range(2000).selectExpr("id", "case when id < 100 then id % 4 end as who", "cast(null as long) as dept").repartition(8)
+        users = spark.createDataFrame([(0, 10), (1, 11), (1, 12), (None, 13)], "user long, dept long")
+        out = facts.fill_from_dim(target, users, "who", "user", "dept", "dept")
+        assert out.columns == ["id", "who", "dept"]
+        assert rows(out.filter("dept is not null").groupBy("who", "dept").count()) == [(0, 10, 25), (1, 11, 25)]
+        sizes = [n for _, n in rows(out.groupBy(F.spark_partition_id().alias("p")).count())]
+        assert sum(sizes) == 2000 and max(sizes) < 600
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
