@@ -1,6 +1,8 @@
 """Cases that the registered queries cannot reach: empty dimensions, repeated log rows, failed runs, null dates, broken pages."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +46,26 @@ def test_headcount_with_null_backward_and_far_dates(spark):
     assert rows(sprints.headcount(members, sp, T(2024, 2, 1)), "sprint_number", "no_of_devs") == [(1, 2), (4, 3)]
 
 
+def test_headcount_pairs_no_member_with_a_sprint(spark):
+    """Many stays at few times, so that equal times, several digits and many buckets occur."""
+    rnd = random.Random(3)
+    day = lambda lo, hi: T(2024, 1, 1) + dt.timedelta(hours=12 * rnd.randint(lo, hi))
+    team = lambda: rnd.choice(["a"] * 8 + ["b", None])
+    stays = [(rnd.choice([u, 1, None]), team(), rnd.choice([day(0, 60), day(0, 60), None]), rnd.choice([day(0, 90), None])) for u in range(500)]
+    sps = [(team(), rnd.choice([None, *range(80)]), day(0, 70), rnd.choice([day(0, 90), day(0, 90), None])) for _ in range(150)]
+    members = spark.createDataFrame(stays, "user_dim_id long, team_dim_id string, team_entry_date timestamp_ntz, team_exit_date timestamp_ntz")
+    sp = spark.createDataFrame(sps, "team_dim_id string, sprint_number long, sprint_start_date timestamp_ntz, sprint_end_date timestamp_ntz")
+    out, as_of = sprints.headcount(members, sp, "2024-02-01 00:00:00"), T(2024, 2, 1)
+    want = {}
+    for t, n, start, end in sps:
+        met = [u for u, of, entry, exit_ in stays if t and of == t and entry and end and entry < start and (exit_ or as_of) > end]
+        if met:
+            want[t, n] = want.get((t, n), 0) + sum(u is not None for u in met)
+    assert len(want) > 40 and {(r.team_dim_id, r.sprint_number): r.no_of_devs for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Join " in line and re.search(" [<>]=? ", line)]
+
+
 def test_first_row_per_key_follows_the_page(spark):
     pages = spark.createDataFrame([(2, '[{"key":"u","displayName":"late"}]'), (1, '[{"key":"x"},{"key":"u","displayName":"early"}]')], "page int, value string")
     assert rows(landed.read_users(pages, page="page").filter("user_id = 'u'"), "user_name") == [("early",)]
