@@ -168,7 +168,7 @@ def _weeks(ev: DataFrame) -> DataFrame:
 
 
 def _ticket_pages(e: DataFrame) -> DataFrame:
-    """Search pages of tickets with their whole changelog."""
+    """Search pages of tickets with their whole changelog, about PER_PAGE tickets a page."""
     type_id = F.create_map(*(F.lit(x) for kv in TYPE_IDS.items() for x in (kv[0], str(kv[1]))))
     t = e.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("ts", "event_type", "who"))).alias("h"))
     before = lambda i: F.get("h", i - 1)
@@ -183,7 +183,8 @@ def _ticket_pages(e: DataFrame) -> DataFrame:
                       F.when(last["event_type"] == "purchase", _iso(last["ts"], "-0500")).alias("resolutiondate"),
                       F.struct(last["event_type"].alias("name")).alias("status"))
     issue = F.struct(F.col("key").alias("id"), F.col("key"), fields.alias("fields"), F.struct(F.transform("h", history).alias("histories")).alias("changelog"))
-    p = t.select("key", issue.alias("i")).groupBy(F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(PER_PAGE)).alias("page")).agg(
+    pages_ = e.select("key").distinct().agg(F.greatest(F.ceil(F.count(F.lit(1)) / PER_PAGE), F.lit(1))).scalar()
+    p = t.select("key", issue.alias("i")).groupBy(F.pmod(F.crc32(F.col("key").cast("binary")), pages_).alias("page")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("key").alias("_o"), "i"))).alias("is"))
     return p.select("page", F.to_json(F.struct(F.transform("is", lambda x: x["i"]).alias("issues"))).alias("value"))
 
@@ -209,7 +210,7 @@ def ticket_load(spark: SparkSession, d: str) -> DataFrame:
                "priority_dim": _empty(spark, jobs.WAREHOUSE_SCHEMAS["priority_dim"]), "date_dim": facts.date_key_frame(e, "ts")}
     store = jobs.ticket_store(spark, _folder(spark, "ticket-load"), BUCKETS)
     for run, part in ((1, before), (2, since)):
-        jobs.ticket_run(store, {**reference, "issues": _ticket_pages(part)}, lookups, LOADS[run - 1], run, listing=None)
+        jobs.ticket_run(store, {**reference, "issues": materialize(_ticket_pages(part), "issues")}, lookups, LOADS[run - 1], run, listing=None)
     fact, tmap = store.read("fact"), store.read("transition_map")
     st = store.read("status_dim").select(F.col("jira_status_dim_id").alias("status_dim_id"), F.col("jira_status").alias("status"))
     us = store.read("user_dim").select(F.col("jira_user_dim_id").alias("assignee_dim_id"), F.col("jira_user_id").alias("assignee"))
