@@ -123,3 +123,13 @@ def test_a_page_is_parsed_once(spark):
         text = plan(query(spark, SF))
         assert text.count("columnNameOfCorruptRecord") == 1
         assert "collect_list(struct(l_orderkey, l_orderkey#" in text      # lines as they are, not rendered
+
+
+def test_ticket_pages_grow_in_number_not_in_size(spark):
+    from dimwright.plans.load_bindings import PER_PAGE, _ticket_pages
+
+    e = spark.range(1200).selectExpr("concat('T-', id % 400) as key", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id) as ts",
+                                     "id as event_id", "'view' as event_type", "'a1' as who")
+    p = _ticket_pages(e)
+    assert sorted({r.page for r in p.collect()}) == list(range(400 // PER_PAGE))
+    assert landed.read_issue_pages(p).select("key").distinct().count() == landed.read_issue_pages(p).count() == 400
