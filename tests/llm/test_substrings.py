@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from llm.fixture import SCHEMA, documents
 from dimwright.llm import substring, suffix
 from dimwright.llm.substring import substring_dedup
 from dimwright.llm.suffix import prefix_hashes, suffix_dedup, suffix_order
-from dimwright.llm.windows import SPAN, send_runs, unpack
+from dimwright.llm.windows import RUN, SPAN, TURNS, send_runs, unpack
 
 BIG = 2**63 - 1
 
@@ -88,3 +89,40 @@ def test_suffix_order_sorts():
     o = suffix_order(buf, prefix_hashes(buf), pos, 50)
     raw = buf.tobytes()
     assert [raw[p:p + 50] for p in pos[o]] == sorted(raw[p:p + 50] for p in pos)
+
+
+@pytest.mark.parametrize("op", [suffix, substring])
+def test_turns_share_out_the_runs(op):
+    """Each run is sent in one turn, and no turn sends most of them."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 500, 300)).encode() for _ in range(200)]
+    docs = pa.record_batch([pa.array(range(200), pa.int64()), pa.array(range(200), pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "uid", "text"])
+
+    def sent(*turn):
+        return [r for b in send_runs(iter([docs]), op.spec(), 1, *turn)
+                for k, p in zip(b.column("kind").to_pylist(), b.column("payload").to_pylist()) if k == 0 for r in unpack(p, RUN).tolist()]
+    every, shares = sent(), [sent(t, TURNS) for t in range(TURNS)]
+    assert len(every) > 1000 and sorted(sum(shares, [])) == sorted(every)
+    assert TURNS > 1 and max(map(len, shares)) < 0.65 * len(every)
+
+
+@pytest.mark.parametrize("dedup", [suffix_dedup, substring_dedup])
+def test_shuffle_files_go_as_tables_are_written(spark, dedup):
+    """What a table was gathered from does not lie on disk while the next one is."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        f = disk.getAllFiles()
+        return {name for i in range(f.size()) if (name := f.apply(i).getName()).startswith("shuffle_")}
+    docs = documents(spark, 1).repartition(5).cache()
+    docs.count()
+    spark._jvm.System.gc()
+    time.sleep(2)
+    before = held()
+    out = dedup(docs)       # its last step has not run yet
+    for _ in range(50):
+        if not (left := held() - before):
+            break
+        time.sleep(0.1)
+    assert not left and out.count() == docs.count()
+    docs.unpersist()
