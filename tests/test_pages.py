@@ -133,3 +133,12 @@ def test_ticket_pages_grow_in_number_not_in_size(spark):
     p = _ticket_pages(e)
     assert sorted({r.page for r in p.collect()}) == list(range(400 // PER_PAGE))
     assert landed.read_issue_pages(p).select("key").distinct().count() == landed.read_issue_pages(p).count() == 400
+
+
+def test_pages_seen_once_tell_rejects_and_spans(spark):
+    d = docs(spark, GOOD, *BAD, {"total": 0, "issues": []}, {"startAt": 5, "issues": [{"id": "3"}]})
+    once = pages.seen(d, landed.RAW_ISSUES, ["page"])
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert rows(pages.unread(once)) == rows(pages.rejects(d, landed.RAW_ISSUES))
+    assert rows(pages.told(once, ["page"])) == [(0, 0, 2, 2), (10, None, 0, 0), (11, 5, 1, None)]
+    assert rows(pages.spans(d, landed.RAW_ISSUES, ["page"])) == rows(pages.told(once, ["page"]))

@@ -25,6 +25,19 @@ def test_status_as_of_latest_before_close(spark):
     assert rows(out, "jira_ticket_key", "status_on_sprint_closure") == [("T-1", "Review"), ("T-2", "Open"), ("T-3", None)]
 
 
+def test_epics_meet_by_a_column(spark):
+    """No join compares ids that it parses from the issues as it goes."""
+    docs = [json.dumps({"fields": {"epic": {"id": e}}}) for e in (3, "4", "x")] + [None, "no json", "{}"]
+    issues = spark.createDataFrame([(i, d, True, None) for i, d in enumerate(docs)] + [(6, docs[0], False, None), (7, docs[0], True, 9)],
+                                   "jira_ticket_id long, ticket_details string, is_active boolean, epic_dim_id long")
+    epics = spark.createDataFrame([(3, 30), (4, 40)], "epic_id long, epic_dim_id long")
+    out = sprints.link_epics(issues, epics)
+    assert out.columns == issues.columns
+    assert rows(out, "jira_ticket_id", "epic_dim_id") == [(0, 30), (1, 40), (2, None), (3, None), (4, None), (5, None), (6, None), (7, 9)]
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not [j for j in joins if "get_json_object" in j]
+
+
 def test_high_water_team_without_loaded_sprint(spark):
     team = spark.createDataFrame([(1, "a", 10, True), (2, "b", 20, True), (3, "c", 30, False)],
                                  "team_dim_id long, team_name string, jira_rapid_view_id long, is_active boolean")
